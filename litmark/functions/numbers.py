@@ -35,10 +35,15 @@ def strict(c: Column, parsed: Column, name: str) -> Column:
 
 
 def strict_int(c: Column, kind: T.DataType, name: str) -> Column:
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)):
+        return c.cast("int")
     return strict(c, try_int(c, kind), name)
 
 
-def strict_double(c: Column, name: str) -> Column:
+def strict_double(c: Column, kind: T.DataType, name: str) -> Column:
+    """A cast between numeric types cannot fail and is left bare; text is checked."""
+    if isinstance(kind, T.NumericType):
+        return c.cast("double")
     return strict(c, c.try_cast("double"), name)
 
 

@@ -20,7 +20,7 @@ def indicator(results: DataFrame, extra: list[str] = PROPORTIONS, stamped: bool
     kinds = {f.name: f.dataType for f in results.schema.fields}
 
     def number(name: str):
-        return strict_double(F.col(name), name)
+        return strict_double(F.col(name), kinds[name], name)
 
     network = strict_int(F.col("rede"), kinds["rede"], "rede")
     municipality = F.col("id_municipio").cast("string")
@@ -59,7 +59,7 @@ def latest_targets(wide: DataFrame, columns: dict[str, int]) -> DataFrame:
         F.col("id_municipio").cast("string").alias("id_municipio"),
         network_code(F.col("rede"), kinds["rede"]).alias("codigo_rede"),
         strict_int(F.col("ano"), kinds["ano"], "ano").alias("ano_referencia_fonte"),
-        *[strict_double(F.col(c), c).alias(c) for c in columns],
+        *[strict_double(F.col(c), kinds[c], c).alias(c) for c in columns],
     ).where(F.col("id_municipio").isNotNull() & F.col("codigo_rede").isNotNull())
     newest = [
         F.max(

@@ -120,27 +120,28 @@ def parse_events(lines: DataFrame, rules: EventRules | None = None, keep_blank:
     kept = [c for c in lines.columns if c != "value"]
     record, payload = F.col("_record"), F.col("_payload")
 
+    fields = F.struct(
+        _is_object(record).alias("_is_object"),
+        _is_object(payload).alias("_has_payload"),
+        _text(record, "$.event_id").alias("event_id"),
+        _text(record, "$.event_type").alias("event_type"),
+        iso_timestamp(_text(record, "$.event_timestamp_utc")).alias("event_timestamp_utc"),
+        _text(record, "$.schema_version").alias("schema_version"),
+        _text(record, "$.source").alias("source"),
+        F.try_variant_get(payload, "$.ano", "int").alias("ano"),
+        _text(payload, "$.id_municipio").alias("id_municipio"),
+        _text(payload, "$.id_uf").alias("id_uf"),
+        F.try_variant_get(payload, "$.codigo_rede", "int").alias("codigo_rede"),
+        _text(payload, "$.rede").alias("rede"),
+        F.try_variant_get(payload, "$.taxa_alfabetizacao_anterior", "double").alias("_old"),
+        F.try_variant_get(payload, "$.taxa_alfabetizacao_atualizada", "double").alias("_new"),
+        F.try_variant_get(payload, "$.variacao_pp", "double").alias("_told"),
+    )
+    # The one-element inline keeps later filters above the parsing: pushed below it, they would parse again per field.
     parsed = (
         lines.select(*kept, F.try_parse_json("value").alias("_record"))
         .select(*kept, record, F.try_variant_get(record, "$.payload", "variant").alias("_payload"))
-        .select(
-            *kept,
-            _is_object(record).alias("_is_object"),
-            _is_object(payload).alias("_has_payload"),
-            _text(record, "$.event_id").alias("event_id"),
-            _text(record, "$.event_type").alias("event_type"),
-            iso_timestamp(_text(record, "$.event_timestamp_utc")).alias("event_timestamp_utc"),
-            _text(record, "$.schema_version").alias("schema_version"),
-            _text(record, "$.source").alias("source"),
-            F.try_variant_get(payload, "$.ano", "int").alias("ano"),
-            _text(payload, "$.id_municipio").alias("id_municipio"),
-            _text(payload, "$.id_uf").alias("id_uf"),
-            F.try_variant_get(payload, "$.codigo_rede", "int").alias("codigo_rede"),
-            _text(payload, "$.rede").alias("rede"),
-            F.try_variant_get(payload, "$.taxa_alfabetizacao_anterior", "double").alias("_old"),
-            F.try_variant_get(payload, "$.taxa_alfabetizacao_atualizada", "double").alias("_new"),
-            F.try_variant_get(payload, "$.variacao_pp", "double").alias("_told"),
-        )
+        .select(*kept, F.inline(F.array(fields)))
     )
 
     c = F.col
