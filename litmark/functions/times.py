@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 
 def iso_timestamp(c: Column) -> Column:
     """Timestamp of an ISO text, NULL when it is not one; text without an offset is UTC."""
-    has_clock = c.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}")
-    has_offset = c.rlike(r"(Z|[+-]\d{2}(:?\d{2})?)$")
+    dashes = (F.substring(c, 5, 1) == "-") & (F.substring(c, 8, 1) == "-")
+    has_clock = dashes & F.substring(c, 11, 1).isin("T", " ") & (F.substring(c, 14, 1) == ":")
+    clock = F.substring(c, 12, 64)
+    has_offset = clock.endswith("Z") | clock.contains("+") | clock.contains("-")
     text = (
-        F.when(has_clock & ~has_offset, F.concat(c, F.lit("Z")))
-        .when(c.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(c, F.lit("T00:00:00Z")))
-        .when(has_clock, c)
+        F.when(has_clock & has_offset, c)
+        .when(has_clock, F.concat(c, F.lit("Z")))
+        .when(dashes & (F.length(c) == 10), F.concat(c, F.lit("T00:00:00Z")))
     )
     return text.try_cast("timestamp")
 

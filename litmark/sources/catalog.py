@@ -70,9 +70,10 @@ def load_table(
     """
     spark = df.sparkSession
     sent = Observation("sent")
-    rows = df.observe(sent, F.count("*").alias("rows"))
-    if clustering:
-        rows = cluster(rows, clustering)
+    rows = cluster(df, clustering) if clustering else df
+    # Counted in the writing stage: range partitioning samples what comes before it, and only the last stage counts each
+    # task once when tasks are repeated.
+    rows = rows.observe(sent, F.count("*").alias("rows"))
     writer = rows.write.mode("overwrite").format("parquet").option("compression", "zstd")
     if partitioning:
         writer = writer.partitionBy(*partitioning)

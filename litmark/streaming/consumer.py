@@ -58,8 +58,8 @@ def counters(parsed: DataFrame, unique_events: DataFrame, new_events: DataFrame)
     parts = (
         part(
             parsed,
-            validos=F.count_if(F.col("erro").isNull()),
-            invalidos=F.count_if(F.col("erro").isNotNull()),
+            validos=F.count_if(F.col("regra").isNull()),
+            invalidos=F.count_if(F.col("regra").isNotNull()),
         )
         .unionAll(part(unique_events, unicos=F.count("*")))
         .unionAll(part(new_events, novos=F.count("*")))
@@ -102,8 +102,8 @@ def consume(
     try:
         numbered = number_lines(parsed).where("NOT em_branco")
         counts = parsed.where("NOT em_branco").agg(
-            F.count_if(F.col("erro").isNull()).alias("validos"),
-            F.count_if(F.col("erro").isNotNull()).alias("invalidos"),
+            F.count_if(F.col("regra").isNull()).alias("validos"),
+            F.count_if(F.col("regra").isNotNull()).alias("invalidos"),
         ).first()
         valid_rows, invalid_rows = counts["validos"], counts["invalidos"]
         if invalid_rows and fail_fast:

@@ -36,6 +36,14 @@ EVENT_COLUMNS = [
 ]
 
 
+# Types the fields are read as. Numbers are accepted as text, numeric text as numbers; anything else is NULL.
+EVENT_TYPES = (
+    "struct<event_id: string, event_type: string, event_timestamp_utc: string, schema_version: string, source: string, "
+    "payload: struct<ano: int, id_municipio: string, id_uf: string, codigo_rede: int, rede: string, "
+    "taxa_alfabetizacao_anterior: double, taxa_alfabetizacao_atualizada: double, variacao_pp: double>>"
+)
+
+
 @dataclass(frozen=True)
 class EventRules:
     """What a valid event looks like."""
@@ -89,111 +97,116 @@ def to_lines(events: DataFrame) -> DataFrame:
     return events.select(F.to_json(F.struct(*events.columns)).alias("value"))
 
 
-def _text(record: Column, path: str) -> Column:
-    return strip(F.try_variant_get(record, path, "string"))
-
-
-def _text_problem(value: Column, name: str) -> Column:
-    absent, empty = V.EVENT_FIELD_ABSENT.format(field=name), V.EVENT_FIELD_EMPTY.format(field=name)
-    return F.when(value.isNull(), absent).when(value == "", empty)
-
-
-def _rate_problem(value: Column, name: str) -> Column:
-    return F.when(value.isNull() | F.isnan(value), V.EVENT_NOT_NUMERIC.format(field=name)).when(
-        (value < 0) | (value > 100), V.EVENT_OUT_OF_RANGE.format(field=name)
-    )
-
-
-def _is_object(record: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(record).startswith("OBJECT"), F.lit(False))
+def _rules(rules: EventRules) -> list[tuple[Column, Column]]:
+    """Broken-rule tests over the parsed fields and their messages, in the order that decides which one is reported."""
+    c = F.col
+    listed: list[tuple[Column, Column]] = []
+
+    def add(test: Column, *message: str | Column) -> None:
+        listed.append((test, F.concat(*[F.lit(m) if isinstance(m, str) else m.cast("string") for m in message])))
+
+    def text(name: str) -> None:
+        add(c(name).isNull(), V.EVENT_FIELD_ABSENT.format(field=name))
+        add(c(name) == "", V.EVENT_FIELD_EMPTY.format(field=name))
+
+    def rate(value: Column, name: str) -> None:
+        add(value.isNull() | F.isnan(value), V.EVENT_NOT_NUMERIC.format(field=name))
+        add((value < 0) | (value > 100), V.EVENT_OUT_OF_RANGE.format(field=name))
+
+    add(~c("_is_object"), V.EVENT_NOT_OBJECT)
+    text("event_id")
+    text("event_type")
+    add(c("event_type") != rules.event_type, V.EVENT_WRONG_TYPE, c("event_type"), ".")
+    text("schema_version")
+    add(c("schema_version") != rules.schema_version, V.EVENT_WRONG_VERSION, c("schema_version"), ".")
+    add(c("event_timestamp_utc").isNull(), V.EVENT_BAD_TIMESTAMP)
+    add(~c("_has_payload"), V.EVENT_BAD_PAYLOAD)
+    add(c("ano").isNull() | c("codigo_rede").isNull(), V.EVENT_BAD_INTEGERS)
+    add(~c("ano").isin(rules.years), V.EVENT_BAD_YEAR, c("ano"), ".")
+    add(~c("codigo_rede").isin(rules.networks), V.EVENT_BAD_NETWORK, c("codigo_rede"), ".")
+    text("id_municipio")
+    text("id_uf")
+    add(~c("id_municipio").startswith(c("id_uf")), V.EVENT_BAD_PREFIX)
+    text("rede")
+    rate(c("_old"), "taxa_alfabetizacao_anterior")
+    rate(c("_new"), "taxa_alfabetizacao_atualizada")
+    add(c("_told").isNull() | F.isnan("_told"), V.EVENT_BAD_VARIATION)
+    computed = round2(round2(c("_new")) - round2(c("_old")))
+    add(differs(round2(c("_told")), computed, rules.tolerance), V.EVENT_WRONG_VARIATION)
+    text("source")
+    return listed
 
 
 def parse_events(lines: DataFrame, rules: EventRules | None = None, keep_blank: bool = False) -> DataFrame:
-    """Lines with their fields parsed and ``erro``, the first broken rule (NULL for a valid event).
+    """Lines with their fields parsed, ``regra``, the number of the first broken rule, and ``erro``, its message.
 
-    All other columns of ``lines`` are kept; ``value`` is replaced by the parsed fields. Blank lines are dropped, or with
-    ``keep_blank`` kept and marked in ``em_branco`` (line numbers count them).
+    Both are NULL for a valid event. All other columns of ``lines`` are kept; ``value`` is replaced by the parsed fields.
+    Blank lines are dropped, or with ``keep_blank`` kept and marked in ``em_branco`` (line numbers count them).
     """
     rules = rules or EventRules()
     blank_line = strip(F.col("value")) == ""
     lines = lines.withColumn("em_branco", blank_line) if keep_blank else lines.where(~blank_line)
     kept = [c for c in lines.columns if c != "value"]
-    record, payload = F.col("_record"), F.col("_payload")
-
-    fields = F.struct(
-        _is_object(record).alias("_is_object"),
-        _is_object(payload).alias("_has_payload"),
-        _text(record, "$.event_id").alias("event_id"),
-        _text(record, "$.event_type").alias("event_type"),
-        iso_timestamp(_text(record, "$.event_timestamp_utc")).alias("event_timestamp_utc"),
-        _text(record, "$.schema_version").alias("schema_version"),
-        _text(record, "$.source").alias("source"),
-        F.try_variant_get(payload, "$.ano", "int").alias("ano"),
-        _text(payload, "$.id_municipio").alias("id_municipio"),
-        _text(payload, "$.id_uf").alias("id_uf"),
-        F.try_variant_get(payload, "$.codigo_rede", "int").alias("codigo_rede"),
-        _text(payload, "$.rede").alias("rede"),
-        F.try_variant_get(payload, "$.taxa_alfabetizacao_anterior", "double").alias("_old"),
-        F.try_variant_get(payload, "$.taxa_alfabetizacao_atualizada", "double").alias("_new"),
-        F.try_variant_get(payload, "$.variacao_pp", "double").alias("_told"),
-    )
-    # The one-element inline keeps later filters above the parsing: pushed below it, they would parse again per field.
-    parsed = (
-        lines.select(*kept, F.try_parse_json("value").alias("_record"))
-        .select(*kept, record, F.try_variant_get(record, "$.payload", "variant").alias("_payload"))
-        .select(*kept, F.inline(F.array(fields)))
-    )
 
-    c = F.col
-    old, new = round2(c("_old")), round2(c("_new"))
-    computed = round2(new - old)
-    year_text, network_text = c("ano").cast("string"), c("codigo_rede").cast("string")
-    error = F.coalesce(
-        F.when(~c("_is_object"), V.EVENT_NOT_OBJECT),
-        _text_problem(c("event_id"), "event_id"),
-        _text_problem(c("event_type"), "event_type"),
-        F.when(c("event_type") != rules.event_type, F.concat(F.lit(V.EVENT_WRONG_TYPE), c("event_type"), F.lit("."))),
-        _text_problem(c("schema_version"), "schema_version"),
-        F.when(
-            c("schema_version") != rules.schema_version,
-            F.concat(F.lit(V.EVENT_WRONG_VERSION), c("schema_version"), F.lit(".")),
-        ),
-        F.when(c("event_timestamp_utc").isNull(), V.EVENT_BAD_TIMESTAMP),
-        F.when(~c("_has_payload"), V.EVENT_BAD_PAYLOAD),
-        F.when(c("ano").isNull() | c("codigo_rede").isNull(), V.EVENT_BAD_INTEGERS),
-        F.when(~c("ano").isin(rules.years), F.concat(F.lit(V.EVENT_BAD_YEAR), year_text, F.lit("."))),
-        F.when(
-            ~c("codigo_rede").isin(rules.networks), F.concat(F.lit(V.EVENT_BAD_NETWORK), network_text, F.lit("."))
-        ),
-        _text_problem(c("id_municipio"), "id_municipio"),
-        _text_problem(c("id_uf"), "id_uf"),
-        F.when(~c("id_municipio").startswith(c("id_uf")), V.EVENT_BAD_PREFIX),
-        _text_problem(c("rede"), "rede"),
-        _rate_problem(c("_old"), "taxa_alfabetizacao_anterior"),
-        _rate_problem(c("_new"), "taxa_alfabetizacao_atualizada"),
-        F.when(c("_told").isNull() | F.isnan("_told"), V.EVENT_BAD_VARIATION),
-        F.when(differs(round2(c("_told")), computed, rules.tolerance), V.EVENT_WRONG_VARIATION),
-        _text_problem(c("source"), "source"),
+    # Inside an array, text after the object is malformed and a second object is a second element.
+    listed = F.try_parse_json(F.concat(F.lit("["), F.col("value"), F.lit("]")))
+    objects = F.try_variant_get(listed, "$", f"array<{EVENT_TYPES}>")
+    record, payload = F.col("_record"), F.col("_record.payload")
+
+    fields = [
+        record.isNotNull().alias("_is_object"),
+        payload.isNotNull().alias("_has_payload"),
+        strip(record["event_id"]).alias("event_id"),
+        strip(record["event_type"]).alias("event_type"),
+        iso_timestamp(strip(record["event_timestamp_utc"])).alias("event_timestamp_utc"),
+        strip(record["schema_version"]).alias("schema_version"),
+        strip(record["source"]).alias("source"),
+        payload["ano"].alias("ano"),
+        strip(payload["id_municipio"]).alias("id_municipio"),
+        strip(payload["id_uf"]).alias("id_uf"),
+        payload["codigo_rede"].alias("codigo_rede"),
+        strip(payload["rede"]).alias("rede"),
+        payload["taxa_alfabetizacao_anterior"].alias("_old"),
+        payload["taxa_alfabetizacao_atualizada"].alias("_new"),
+        payload["variacao_pp"].alias("_told"),
+    ]
+    # Rows are judged by a rule number; the messages are only built where they are asked for.
+    broken = _rules(rules)
+    rule = F.lit(None).cast("int")
+    message = F.lit(None).cast("string")
+    for number, (test, text) in reversed(list(enumerate(broken, start=1))):
+        rule = F.when(test, number).otherwise(rule)
+        message = F.when(F.col("regra") == number, text).otherwise(message)
+    parsed = (
+        lines.select(*kept, objects.alias("_objects"))
+        .select(*kept, F.when(F.size("_objects") == 1, F.get("_objects", F.lit(0))).alias("_record"))
+        .select(*kept, *fields)
+        .withColumn("regra", rule)
     )
-    return parsed.select(
+    # The one-element inline is a fence: a filter on the rule pushed below it would parse and judge again per field.
+    names = parsed.columns[len(kept) :]
+    fenced = parsed.select(*kept, F.inline(F.array(F.struct(*names))))
+    old, new = round2(F.col("_old")), round2(F.col("_new"))
+    return fenced.select(
         *kept,
         *EVENT_COLUMNS[:10],
         old.alias("taxa_alfabetizacao_anterior"),
         new.alias("taxa_alfabetizacao_atualizada"),
-        computed.alias("variacao_pp"),
-        error.alias("erro"),
+        round2(new - old).alias("variacao_pp"),
+        "regra",
+        message.alias("erro"),
     )
 
 
 def valid_events(parsed: DataFrame) -> DataFrame:
     """The valid rows in the 16 event columns."""
-    stamped = parsed.where(F.col("erro").isNull()).withColumn("processado_em_utc", F.current_timestamp())
+    stamped = parsed.where(F.col("regra").isNull()).withColumn("processado_em_utc", F.current_timestamp())
     return stamped.select(*EVENT_COLUMNS)
 
 
 def invalid_events(parsed: DataFrame) -> DataFrame:
     """The rejected rows: file, line number and a message that names both."""
     where = F.concat(F.col("arquivo_origem"), F.lit(", linha "), F.col("numero_linha_origem").cast("string"))
-    return parsed.where(F.col("erro").isNotNull()).select(
+    return parsed.where(F.col("regra").isNotNull()).select(
         "arquivo_origem", "numero_linha_origem", F.concat(where, F.lit(": "), F.col("erro")).alias("mensagem")
     )
