@@ -11,10 +11,10 @@ from litmark.functions.numbers import try_int
 
 
 def network_label(code: Column) -> Column:
-    label = F.lit(V.NETWORK_UNKNOWN)
-    for value, text in reversed(V.NETWORK_LABELS.items()):
-        label = F.when(code == value, text).otherwise(label)
-    return label
+    label = F
+    for value, text in V.NETWORK_LABELS.items():
+        label = label.when(code == value, text)
+    return label.otherwise(V.NETWORK_UNKNOWN)
 
 
 def network_code(c: Column, kind: T.DataType) -> Column:

@@ -92,8 +92,8 @@ def readable_bytes(c: Column, units: list[str] = BINARY_UNITS) -> Column:
     def two_decimals(scaled: Column, unit: str) -> Column:
         return F.concat(F.call_function("format_number", scaled, F.lit("0.00")), F.lit(f" {unit}"))
 
-    text = two_decimals(value / float(1024 ** (len(units) - 1)), units[-1])
-    for power in range(len(units) - 2, -1, -1):
+    text = F.when(value.isNull(), None)
+    for power, unit in enumerate(units[:-1]):
         scaled = value / float(1024**power)
-        text = F.when(scaled < 1024, two_decimals(scaled, units[power])).otherwise(text)
-    return F.when(c.isNotNull(), text)
+        text = text.when(scaled < 1024, two_decimals(scaled, unit))
+    return text.otherwise(two_decimals(value / float(1024 ** (len(units) - 1)), units[-1]))

@@ -5,6 +5,7 @@ Within a batch the last line of a key wins; across batches the first batch wins.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -171,7 +172,7 @@ def start_stream(
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
     def store_batch(rows: DataFrame, epoch: int) -> None:
-        stream = rows.sparkSession.read.json(f"{checkpoint}/metadata").first()["id"]
+        stream = json.loads(rows.sparkSession.read.text(f"{checkpoint}/metadata").first()[0])["id"]
         totals = consume(rows, store, f"{stream}-{epoch:09d}", rules, fail_fast)
         if after_batch:
             after_batch(totals)

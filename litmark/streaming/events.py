@@ -144,8 +144,6 @@ def parse_events(lines: DataFrame, rules: EventRules | None = None, keep_blank:
     Blank lines are dropped, or with ``keep_blank`` kept and marked in ``em_branco`` (line numbers count them).
     """
     rules = rules or EventRules()
-    blank_line = strip(F.col("value")) == ""
-    lines = lines.withColumn("em_branco", blank_line) if keep_blank else lines.where(~blank_line)
     kept = [c for c in lines.columns if c != "value"]
 
     # Inside an array, text after the object is malformed and a second object is a second element.
@@ -172,23 +170,24 @@ def parse_events(lines: DataFrame, rules: EventRules | None = None, keep_blank:
     ]
     # Rows are judged by a rule number; the messages are only built where they are asked for.
     broken = _rules(rules)
-    rule = F.lit(None).cast("int")
-    message = F.lit(None).cast("string")
-    for number, (test, text) in reversed(list(enumerate(broken, start=1))):
-        rule = F.when(test, number).otherwise(rule)
-        message = F.when(F.col("regra") == number, text).otherwise(message)
+    rule, message = F, F
+    for number, (test, text) in enumerate(broken, start=1):
+        rule = rule.when(test, number)
+        message = message.when(F.col("regra") == number, text)
     parsed = (
-        lines.select(*kept, objects.alias("_objects"))
-        .select(*kept, F.when(F.size("_objects") == 1, F.get("_objects", F.lit(0))).alias("_record"))
-        .select(*kept, *fields)
+        lines.select(*kept, objects.alias("_objects"), (strip(F.col("value")) == "").alias("em_branco"))
+        .select(*kept, "em_branco", F.when(F.size("_objects") == 1, F.get("_objects", F.lit(0))).alias("_record"))
+        .select(*kept, "em_branco", *fields)
         .withColumn("regra", rule)
     )
     # The one-element inline is a fence: a filter on the rule pushed below it would parse and judge again per field.
     names = parsed.columns[len(kept) :]
     fenced = parsed.select(*kept, F.inline(F.array(F.struct(*names))))
+    fenced = fenced if keep_blank else fenced.where("NOT em_branco")
     old, new = round2(F.col("_old")), round2(F.col("_new"))
     return fenced.select(
         *kept,
+        *(["em_branco"] if keep_blank else []),
         *EVENT_COLUMNS[:10],
         old.alias("taxa_alfabetizacao_anterior"),
         new.alias("taxa_alfabetizacao_atualizada"),

@@ -6,18 +6,19 @@ from litmark import fixed_values as V
 from litmark.operators import checks as Q
 from litmark.operators import cleaning as C
 from litmark.operators import keys as K
+from litmark.plans import indicators as I
 from litmark.plans.quality import GOLD_KEYS, GOLD_REQUIRED, gold_report, silver_report
 from litmark.session import scratch_folder
 from litmark.sources.sinks import write_csv_report
 from workload import fixtures as X
 from workload.cleaning import STUDENTS_SQL, clean_sql
 from workload.gold import (
+    AFTER,
+    BEFORE,
     EVOLUTION_SQL,
     INDICATOR_SQL,
     TARGETS_SQL,
-    comparison_frame,
     comparison_sql,
-    evolution_frame,
     indicator_frame,
     targets_frame,
 )
@@ -143,12 +144,9 @@ def silver_frame(spark, folder):
 
 
 def gold_frame(spark, folder):
-    return gold_report(
-        indicator_frame(spark, folder),
-        targets_frame(spark, folder),
-        comparison_frame(spark, folder),
-        evolution_frame(spark, folder),
-    )
+    results, wanted = indicator_frame(spark, folder), targets_frame(spark, folder)
+    compared = I.comparison(results, wanted, stamped=False)
+    return gold_report(results, wanted, compared, I.evolution(results, BEFORE, AFTER, stamped=False))
 
 
 @query(SILVER_SQL)
