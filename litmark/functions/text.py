@@ -11,8 +11,13 @@ from litmark.fixed_values import NULL_TOKENS, WHITESPACE
 
 
 def strip(c: Column) -> Column:
-    """Remove every kind of white space at both ends (plain ``trim`` only removes blanks)."""
-    return F.btrim(c, F.lit(WHITESPACE))
+    """Remove every kind of white space at both ends (plain ``trim`` only removes blanks).
+
+    Most values start and end with a printable ASCII character; those skip the search through the white-space set.
+    """
+    first, last = F.ascii(c), F.ascii(F.substring(c, -1, 1))
+    settled = first.between(33, 126) & last.between(33, 126)
+    return F.when(settled, c).otherwise(F.btrim(c, F.lit(WHITESPACE)))
 
 
 def clean(c: Column) -> Column:

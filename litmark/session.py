@@ -8,6 +8,22 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Adaptive planning splits oversized join partitions. Generated methods above 8000 bytes of bytecode are not compiled by
+# the JVM; with this limit Spark uses smaller methods instead.
+RUNTIME_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def apply_settings(spark: SparkSession) -> SparkSession:
+    """The settings the engine relies on, for a session that was built elsewhere."""
+    for key, value in RUNTIME_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def build_session(app: str = "litmark", master: str | None = None, **settings: str) -> SparkSession:
     """Session with UTC timestamps and adaptive execution; extra settings win."""
     builder = SparkSession.builder.appName(app)
@@ -15,8 +31,7 @@ def build_session(app: str = "litmark", master: str | None = None, **settings: s
         builder = builder.master(master)
     defaults = {
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
+        **RUNTIME_SETTINGS,
         "spark.sql.parquet.compression.codec": "zstd",
     }
     for key, value in {**defaults, **settings}.items():

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from litmark.session import apply_settings
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -20,7 +21,7 @@ def query(sql: str | None = None):
     """Register a function as the query of its own name, compared with ``sql`` if given."""
 
     def register(function):
-        QUERIES[function.__name__] = function
+        QUERIES[function.__name__] = lambda spark, folder: function(apply_settings(spark), folder)
         if sql is not None:
             ORACLES[function.__name__] = sql
         return function
