@@ -58,6 +58,13 @@ def drop_incomplete(df: DataFrame, required: list[str]) -> DataFrame:
     return df.na.drop(subset=required)
 
 
+def require_rows(df: DataFrame, name: str) -> DataFrame:
+    """``df``, or an error when it has no row (one row is looked for, not all counted)."""
+    if df.isEmpty():
+        raise ValueError(f"{name} has no valid rows")
+    return df
+
+
 def add_lineage(df: DataFrame, source: str = V.SOURCE_MARK, layer: str = V.BRONZE_MARK) -> DataFrame:
     return df.withColumns(
         {

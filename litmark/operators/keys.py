@@ -9,13 +9,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows up to which a side known by count is broadcast.
-BROADCAST_ROWS = 500_000
+# Measured bytes up to which a side is broadcast.
+BROADCAST_BYTES = 64 * 1024 * 1024
+ROW_OVERHEAD_BYTES = 32
 
 
-def small_side(df: DataFrame, rows: int | None) -> DataFrame:
-    """``df`` marked for broadcast when its counted size allows; otherwise left to the adaptive planner."""
-    return F.broadcast(df) if rows is not None and rows <= BROADCAST_ROWS else df
+def small_side(df: DataFrame, measured_bytes: int | None) -> DataFrame:
+    """``df`` marked for broadcast when its measured size allows; otherwise left to the adaptive planner."""
+    return F.broadcast(df) if measured_bytes is not None and measured_bytes <= BROADCAST_BYTES else df
+
+
+def key_bytes(key: str) -> Column:
+    """Aggregate: the bytes the values of a text key take, with a share per row."""
+    return F.coalesce(F.sum(F.octet_length(key) + ROW_OVERHEAD_BYTES), F.lit(0))
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -78,12 +84,13 @@ def tally(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count("*").alias("quantidade"))
 
 
-def unseen_keys(batch: DataFrame, history: DataFrame, key: str, batch_rows: int | None = None) -> DataFrame:
+def unseen_keys(batch: DataFrame, history: DataFrame, key: str, measured_bytes: int | None = None) -> DataFrame:
     """Rows of a small ``batch`` whose key the large ``history`` lacks.
 
     An anti-join cannot broadcast its left side, so the history is first reduced to the keys of the batch: a
-    semi-join that broadcasts the batch keys when they are counted to be few, and then needs no shuffle of the history.
+    semi-join that broadcasts the batch keys when they are measured to be small, and then needs no shuffle of the history.
+    The keys found again are a subset of the batch keys, so the same measure bounds them.
     """
-    ids = small_side(batch.select(key).distinct(), batch_rows)
+    ids = small_side(batch.select(key).distinct(), measured_bytes)
     seen = history.select(key).join(ids, key, "left_semi").distinct()
-    return batch.join(small_side(seen, batch_rows), key, "left_anti")
+    return batch.join(small_side(seen, measured_bytes), key, "left_anti")

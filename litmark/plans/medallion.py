@@ -6,12 +6,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from litmark import fixed_values as V
 from litmark.operators.cleaning import add_lineage, clean_reference, clean_students
 from litmark.plans.indicators import comparison, evolution, indicator, target_columns, targets
 from litmark.plans.quality import gold_report, silver_report
 from litmark.sources.catalog import create_database, load_table
+from litmark.sources.lines import count_json_rows, has_files, read_strict_json
+from litmark.sources.sinks import reconcile
 from litmark.sources.snapshots import (
     BRONZE_DATE,
     SILVER_DATE,
@@ -128,6 +131,27 @@ def check_gold(spark: SparkSession, layers: Layers) -> DataFrame:
     return gold_report(*[read_latest(spark, layers.gold(t), SILVER_DATE) for t in names])
 
 
+def load_json_files(
+    spark: SparkSession,
+    source: str,
+    schema: StructType,
+    glob: str,
+    table: str,
+    description: str | None = None,
+    labels: dict[str, str] | None = None,
+) -> bool:
+    """Line files into a table: strictly parsed, all files in one replacement, reconciled with the non-blank lines.
+
+    The source is optional: without files nothing happens and False is returned.
+    """
+    if not has_files(spark, source, glob):
+        return False
+    loaded = load_table(read_strict_json(spark, source, schema, glob), table, description=description, labels=labels)
+    lines = count_json_rows(spark, source, glob).agg(F.coalesce(F.sum("registros"), F.lit(0))).first()[0]
+    reconcile(table, lines, loaded)
+    return True
+
+
 def load_layer(
     frames: dict[str, DataFrame],
     database: str,

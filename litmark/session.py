@@ -8,9 +8,10 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-# Adaptive planning splits oversized join partitions. Generated methods above 8000 bytes of bytecode are not compiled by
+# Times are UTC. Adaptive planning splits oversized join partitions. Generated methods above 8000 bytes of bytecode are not compiled by
 # the JVM; with this limit Spark uses smaller methods instead.
 RUNTIME_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.codegen.hugeMethodLimit": "8000",
@@ -30,7 +31,6 @@ def build_session(app: str = "litmark", master: str | None = None, **settings: s
     if master:
         builder = builder.master(master)
     defaults = {
-        "spark.sql.session.timeZone": "UTC",
         **RUNTIME_SETTINGS,
         "spark.sql.parquet.compression.codec": "zstd",
     }

@@ -99,6 +99,48 @@ def read_strict_json(spark: SparkSession, path: str, schema: T.StructType, glob:
     return lines.select(checked.alias("_row")).select("_row.*")
 
 
+_LOG_SCHEMA = (
+    "`Event` string, `Job ID` long, `Submission Time` long, `Stage IDs` array<long>, `Stage ID` long, "
+    "`Job Result` struct<`Result`: string>, "
+    "`Task Metrics` struct<`Input Metrics`: struct<`Bytes Read`: long>>"
+)
+
+
+def job_history(spark: SparkSession, path: str) -> DataFrame:
+    """Finished and running jobs from Spark event logs, in the columns that ``usage`` reads.
+
+    Task bytes are summed per stage before they meet the jobs, so the join sees one row per stage.
+    """
+    log = spark.read.option("recursiveFileLookup", True).schema(_LOG_SCHEMA).json(path)
+    log = log.withColumn("_file", F.col("_metadata.file_path"))
+    started = log.where("Event = 'SparkListenerJobStart'")
+    ended = log.where("Event = 'SparkListenerJobEnd'").select(
+        "_file", "Job ID", F.col("`Job Result`.`Result`").alias("_result")
+    )
+    read = (
+        log.where("Event = 'SparkListenerTaskEnd'")
+        .groupBy("_file", F.col("Stage ID").alias("_stage"))
+        .agg(F.sum("`Task Metrics`.`Input Metrics`.`Bytes Read`").alias("_bytes"))
+    )
+    stages = started.select("_file", "Job ID", "Submission Time", F.explode("Stage IDs").alias("_stage"))
+    jobs = (
+        stages.join(read, ["_file", "_stage"], "left")
+        .groupBy("_file", "Job ID", "Submission Time")
+        .agg(F.coalesce(F.sum("_bytes"), F.lit(0)).alias("total_bytes_processed"))
+    )
+    failed = F.col("_result") != "JobSucceeded"
+    return jobs.join(ended, ["_file", "Job ID"], "left").select(
+        F.timestamp_millis("Submission Time").alias("creation_time"),
+        F.lit("QUERY").alias("job_type"),
+        F.when(F.col("_result").isNull(), "RUNNING").otherwise("DONE").alias("state"),
+        F.lit(None).cast("string").alias("statement_type"),
+        F.when(failed, F.col("_result")).alias("error_result"),
+        F.lit(False).alias("cache_hit"),
+        "total_bytes_processed",
+        F.col("total_bytes_processed").alias("total_bytes_billed"),
+    )
+
+
 def count_parquet_rows(spark: SparkSession, path: str) -> DataFrame:
     """``(arquivo, registros)`` of Parquet files. No column is read, so the counts come from the footers."""
     return _rows_per_file(_reader(spark, "*.parquet").schema("_none int").parquet(path))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from litmark.operators.keys import latest_per_key, unseen_keys
+from litmark.operators.keys import key_bytes, latest_per_key, unseen_keys
 from litmark.sources.lines import mark_positions, number_lines, scan_lines
 from litmark.streaming.events import EventRules, invalid_events, parse_events, valid_events
 
@@ -114,9 +114,9 @@ def consume(
         stored = unique = 0
         if valid_rows:
             last = keep_last(valid_events(numbered)).persist()
-            unique = last.count()
+            unique, size = last.agg(F.count("*"), key_bytes("event_id")).first()
             history = stored_events(spark, store, except_batch=batch)
-            new = last if history is None else unseen_keys(last, history, "event_id", unique)
+            new = last if history is None else unseen_keys(last, history, "event_id", size)
             new = new.persist()
             stored = new.count()
             if stored:
@@ -163,13 +163,19 @@ def start_stream(
     rules: EventRules | None = None,
     fail_fast: bool = False,
     files_per_batch: int | None = None,
+    bytes_per_batch: str | None = None,
     trigger: dict | None = None,
     after_batch: Callable[[dict[str, int]], None] | None = None,
 ) -> StreamingQuery:
-    """Stream mode: each new file is read once. By default the query stops when all present files are read."""
+    """Stream mode: each new file is read once. By default the query stops when all present files are read.
+
+    A long backlog is taken in batches of at most ``files_per_batch`` files or ``bytes_per_batch`` (such as ``"500g"``).
+    """
     reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if bytes_per_batch:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
 
     def store_batch(rows: DataFrame, epoch: int) -> None:
         stream = json.loads(rows.sparkSession.read.text(f"{checkpoint}/metadata").first()[0])["id"]

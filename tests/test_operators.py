@@ -48,11 +48,15 @@ def test_orphans_ignore_null_keys(spark):
     assert rows(O.orphan_profile(left, right, "k", "ano")) == [("a", 2, 1, 2)]
 
 
-@pytest.mark.parametrize("known_rows", [None, 3, 10**9])
-def test_unseen_keys(spark, known_rows):
+@pytest.mark.parametrize("size", [None, 99, 10**12])
+def test_unseen_keys(spark, size):
     batch = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "k string, v int")
     history = spark.createDataFrame([("b",), ("b",), ("z",)], "k string")
-    assert rows(O.unseen_keys(batch, history, "k", known_rows)) == [("a", 1), ("c", 3)]
+    unseen = O.unseen_keys(batch, history, "k", size)
+    assert rows(unseen) == [("a", 1), ("c", 3)]
+    assert batch.agg(O.key_bytes("k")).first()[0] == 99
+    hinted = unseen._jdf.queryExecution().analyzed().toString().count("strategy=broadcast")
+    assert hinted == (2 if size == 99 else 0)
 
 
 def test_frequent_key_is_reduced_before_the_shuffle(spark):

@@ -164,6 +164,17 @@ def test_stream_equals_batch(spark, tmp_path):
     assert spark.read.parquet(store.counters).agg(F.sum("validos")).first()[0] == 5
 
 
+@pytest.mark.parametrize("limit", [{"files_per_batch": 1}, {"bytes_per_batch": "1"}])
+def test_bounded_batches(spark, tmp_path, limit):
+    source, store, seen = tmp_path / "in", K.EventStore(str(tmp_path / "out")), []
+    for i in range(3):
+        write(source, f"e{i}.jsonl", event("a", 41.0 + i), event(f"k{i}"))
+    query = K.start_stream(spark, str(source), store, str(tmp_path / "check"), after_batch=seen.append, **limit)
+    query.awaitTermination()
+    assert sorted(stored(spark, store)) == ["a", "k0", "k1", "k2"]
+    assert [s["novos"] for s in seen] == [2, 1, 1]
+
+
 def test_one_event_key_with_a_third_of_all_rows(spark):
     n = 30_000
     df = spark.range(n).select(

@@ -120,7 +120,7 @@ FROM {events}
 
 # A table inventory: one table per return flag, line status and shipping year, sized by its line items.
 INVENTORY = """
-SELECT 'tc_' || lower(l_returnflag) AS dataset,
+SELECT 'base_' || lower(l_returnflag) AS dataset,
   't_' || lower(l_linestatus) || '_' || CAST(CAST(year(l_shipdate) AS INT) AS VARCHAR(10)) AS tabela,
   CAST(count(*) AS BIGINT) AS linhas,
   CAST(sum(CAST(l_quantity AS BIGINT)) * 20000 AS BIGINT) AS bytes_totais,

@@ -173,9 +173,7 @@ def _load(spark, folder):
     return database
 
 
-@query(
-    f"SELECT * FROM ({INDICATOR_SQL})"
-)
+@query(f"SELECT * FROM ({INDICATOR_SQL})")
 def clustered_load(spark, folder):
     """A table loaded in clustered order, reconciled with its source, and read from the catalogue."""
     return spark.table(f"{_load(spark, folder)}.indicador")
@@ -215,3 +213,16 @@ def expected_objects(spark, folder):
         spark, ["indicador", "ausente", "pedidos"], catalog.tables_of(spark, database), "tableName"
     )
     return listed.withColumn("linhas", F.lit(loaded).cast("long"))
+
+
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer")
+def json_file_load(spark, folder):
+    """JSON line files loaded strictly into a table and reconciled; an absent source is skipped."""
+    root = scratch_folder(spark, "linhas")
+    customers = table(spark, folder, "customer").select("c_custkey", "c_name", "c_acctbal")
+    sinks.write_json_lines(customers, f"{root}/in")
+    database = f"litmark_{uuid.uuid4().hex}"
+    catalog.create_database(spark, database, location=f"{root}/db")
+    assert not M.load_json_files(spark, f"{root}/ausente", customers.schema, "*", f"{database}.ausente")
+    M.load_json_files(spark, f"{root}/in", customers.schema, "part-*", f"{database}.clientes")
+    return spark.table(f"{database}.clientes")
