@@ -12,6 +12,7 @@ from litmark import fixed_values as V
 from litmark.operators.cleaning import add_lineage, clean_reference, clean_students
 from litmark.plans.indicators import comparison, evolution, indicator, target_columns, targets
 from litmark.plans.quality import gold_report, silver_report
+from litmark.session import sized_shuffles
 from litmark.sources.catalog import create_database, load_table
 from litmark.sources.lines import count_json_rows, has_files, read_strict_json
 from litmark.sources.sinks import reconcile
@@ -19,6 +20,7 @@ from litmark.sources.snapshots import (
     BRONZE_DATE,
     SILVER_DATE,
     extract_year,
+    newest_folder,
     read_latest,
     read_latest_per,
     write_snapshot,
@@ -62,9 +64,11 @@ def ingest_students(source: DataFrame, layers: Layers, years: list[int], date: s
 def refine_table(spark: SparkSession, layers: Layers, table: str, date: str) -> dict[str, int]:
     """The newest Bronze snapshot of a reference table, cleaned, to Silver. The received rows are counted in
     the file footers, the saved rows while writing."""
-    bronze = read_latest(spark, layers.bronze(table), BRONZE_DATE)
+    source = newest_folder(spark, layers.bronze(table), BRONZE_DATE)
+    bronze = spark.read.parquet(source)
     silver = add_lineage(clean_reference(bronze))
-    saved = write_snapshot(silver, layers.silver(table), date, SILVER_DATE)
+    with sized_shuffles(spark, source):
+        saved = write_snapshot(silver, layers.silver(table), date, SILVER_DATE)
     return _counts(bronze.count(), saved)
 
 
@@ -72,9 +76,10 @@ def refine_students(spark: SparkSession, layers: Layers, date: str) -> dict[str,
     """The newest Bronze snapshot of each year of the students, cleaned, to Silver."""
     bronze = read_latest_per(spark, layers.bronze(V.SILVER_STUDENTS), BRONZE_DATE)
     silver = add_lineage(clean_students(bronze))
-    saved = write_yearly_snapshot(
-        silver, layers.silver(V.SILVER_STUDENTS), date, SILVER_DATE, rows_per_file=ROWS_PER_FILE
-    )
+    with sized_shuffles(spark, layers.bronze(V.SILVER_STUDENTS)):
+        saved = write_yearly_snapshot(
+            silver, layers.silver(V.SILVER_STUDENTS), date, SILVER_DATE, rows_per_file=ROWS_PER_FILE
+        )
     return _counts(bronze.count(), saved)
 
 
@@ -100,16 +105,16 @@ def build_gold(
     def saved(table: str) -> DataFrame:
         return spark.read.parquet(f"{layers.gold(table)}/{SILVER_DATE}={date}")
 
-    wide = read_latest(spark, layers.silver(V.SILVER_TARGETS), SILVER_DATE)
-    counts = {
-        V.GOLD_INDICATOR: save(
-            indicator(read_latest(spark, layers.silver(V.SILVER_RESULTS), SILVER_DATE)), V.GOLD_INDICATOR
-        ),
-        V.GOLD_TARGETS: save(targets(wide, target_columns(wide, target_prefix)), V.GOLD_TARGETS),
-    }
-    results = saved(V.GOLD_INDICATOR)
-    counts[V.GOLD_COMPARISON] = save(comparison(results, saved(V.GOLD_TARGETS)), V.GOLD_COMPARISON)
-    counts[V.GOLD_EVOLUTION] = save(evolution(results, *years), V.GOLD_EVOLUTION)
+    sources = {t: newest_folder(spark, layers.silver(t), SILVER_DATE) for t in (V.SILVER_RESULTS, V.SILVER_TARGETS)}
+    municipal, wide = (spark.read.parquet(folder) for folder in sources.values())
+    with sized_shuffles(spark, *sources.values()):
+        counts = {
+            V.GOLD_INDICATOR: save(indicator(municipal), V.GOLD_INDICATOR),
+            V.GOLD_TARGETS: save(targets(wide, target_columns(wide, target_prefix)), V.GOLD_TARGETS),
+        }
+        results = saved(V.GOLD_INDICATOR)
+        counts[V.GOLD_COMPARISON] = save(comparison(results, saved(V.GOLD_TARGETS)), V.GOLD_COMPARISON)
+        counts[V.GOLD_EVOLUTION] = save(evolution(results, *years), V.GOLD_EVOLUTION)
     return counts
 
 

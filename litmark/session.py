@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-
-# Times are UTC. Adaptive planning splits oversized join partitions. Generated methods above 8000 bytes of bytecode are not compiled by
-# the JVM; with this limit Spark uses smaller methods instead.
+# Times are UTC. Adaptive planning splits oversized join partitions. Generated methods above 8000 bytes of bytecode are
+# not compiled by the JVM; with this limit Spark uses smaller methods instead.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -39,6 +41,34 @@ def build_session(app: str = "litmark", master: str | None = None, **settings: s
     return builder.getOrCreate()
 
 
+SHUFFLE_SETTING = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+# Compressed input bytes per shuffle partition; such a partition fits in the memory of a task after decompression.
+INPUT_BYTES_PER_PARTITION = 32 * 1024 * 1024
+MOST_PARTITIONS = 100_000
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, *paths: str) -> Iterator[int]:
+    """Shuffles start with as many partitions as the files below ``paths`` need; adaptive planning merges small ones.
+
+    Sizes come from listing the files. Small inputs keep the session's own number.
+    """
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    size = listing.agg(F.sum("length")).first()[0] or 0
+    wanted = min(MOST_PARTITIONS, size // INPUT_BYTES_PER_PARTITION)
+    before = spark.conf.get(SHUFFLE_SETTING, None)
+    usual = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > usual:
+        spark.conf.set(SHUFFLE_SETTING, str(wanted))
+    try:
+        yield max(wanted, usual)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_SETTING)
+        else:
+            spark.conf.set(SHUFFLE_SETTING, before)
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new, unused path below the folder the cluster shares (``spark.checkpoint.dir``).
 

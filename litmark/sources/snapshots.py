@@ -62,9 +62,12 @@ def latest_snapshot(spark: SparkSession, path: str, column: str) -> str:
 
 
 def read_latest(spark: SparkSession, path: str, column: str = BRONZE_DATE) -> DataFrame:
-    """The newest snapshot, without the snapshot column."""
-    newest = latest_snapshot(spark, path, column)
-    return spark.read.option("mergeSchema", True).parquet(f"{path}/{column}={newest}")
+    """The newest snapshot, without the snapshot column. One job wrote it, so one footer gives its schema."""
+    return spark.read.parquet(newest_folder(spark, path, column))
+
+
+def newest_folder(spark: SparkSession, path: str, column: str = BRONZE_DATE) -> str:
+    return f"{path}/{column}={latest_snapshot(spark, path, column)}"
 
 
 def latest_snapshots(spark: SparkSession, path: str, column: str, by: str = "ano") -> list[tuple[str, str]]:
@@ -84,11 +87,17 @@ def latest_snapshots(spark: SparkSession, path: str, column: str, by: str = "ano
 def read_latest_per(
     spark: SparkSession, path: str, column: str = BRONZE_DATE, by: str = "ano", only: list[str] | None = None
 ) -> DataFrame:
-    """The newest snapshot of each ``by`` value; ``by`` stays a column, the snapshot column does not."""
+    """The newest snapshot of each ``by`` value; ``by`` stays a column, the snapshot column does not.
+
+    Folders with the same schema are one scan; otherwise they are united by name. Only one footer per folder is read for it.
+    """
     chosen = [p for p in latest_snapshots(spark, path, column, by) if only is None or p[0] in only]
     folders = [f"{path}/{by}={value}/{column}={newest}" for value, newest in chosen]
-    reader = spark.read.option("basePath", path).option("mergeSchema", True)
-    return reader.parquet(*folders).drop(column)
+    reader = spark.read.option("basePath", path)
+    frames = [reader.parquet(folder) for folder in folders]
+    if all(df.schema == frames[0].schema for df in frames):
+        return reader.schema(frames[0].schema).parquet(*folders).drop(column)
+    return union_by_name(*frames).drop(column)
 
 
 def write_snapshot(

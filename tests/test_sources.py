@@ -43,6 +43,27 @@ def test_yearly_rerun_replaces_and_leaves_no_stale_files(spark, tmp_path):
     assert only.count() == 3 and "data_ingestao" not in only.columns
 
 
+def test_years_with_different_columns_are_united_by_name(spark, tmp_path):
+    path = str(tmp_path / "t")
+    S.write_yearly_snapshot(spark.createDataFrame([(2023, 1)], "ano int, a int"), path, "2026-01-01")
+    S.write_yearly_snapshot(spark.createDataFrame([(2024, "x")], "ano int, b string"), path, "2026-01-02")
+    got = {(r["ano"], r["a"], r["b"]) for r in S.read_latest_per(spark, path).collect()}
+    assert got == {(2023, 1, None), (2024, None, "x")}
+
+
+def test_shuffles_grow_with_the_input(spark, tmp_path, monkeypatch):
+    from litmark import session
+
+    path = str(tmp_path / "t")
+    spark.range(20_000).write.parquet(path)
+    with session.sized_shuffles(spark, path) as number:
+        assert number == 8 and spark.conf.get(session.SHUFFLE_SETTING, None) is None
+    monkeypatch.setattr(session, "INPUT_BYTES_PER_PARTITION", 1000)
+    with session.sized_shuffles(spark, path) as number:
+        assert number > 8 and spark.conf.get(session.SHUFFLE_SETTING) == str(number)
+    assert spark.conf.get(session.SHUFFLE_SETTING, None) is None
+
+
 def test_year_predicate_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.createDataFrame([(2023, 1), (2024, 2)], "ano int, v int").write.parquet(path)
