@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from litmark import fixed_values as V
 from litmark.functions.text import one_line
 from litmark.sources.lines import count_rows_by_file, has_files
+from litmark.sources.sinks import write_json_lines
 
 LAYERS = ["bronze", "silver", "gold"]
 LAYER_METRICS = "struct<arquivos: long, bytes: long, registros: long>"
@@ -153,7 +154,7 @@ class RunLog:
             self.before, self._metrics(), [s[:6] for s in self.stages],
         )
         records = close_record(self.spark.createDataFrame([record], RUN_SCHEMA))
-        records.write.mode("append").option("ignoreNullFields", False).json(f"{self.path}/historico")
+        write_json_lines(records, f"{self.path}/historico", "append")
         summary = run_summary(records)
         summary.write.mode("append").parquet(f"{self.path}/resumo")
         rows = [(self.run_id, *s) for s in self.stages]

@@ -23,14 +23,8 @@ def reconcile(name: str, sent: int, found: int) -> None:
 
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One JSON object per line, UTF-8, NULL fields kept."""
-    line = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
-    df.select(line.alias("value")).write.mode(mode).text(path)
-
-
-def append_json_history(df: DataFrame, path: str) -> None:
-    """Append run records, NULL fields kept."""
-    df.write.mode("append").option("ignoreNullFields", False).json(path)
+    """One JSON object per line, UTF-8, NULL fields kept. ``mode="append"`` adds new files and leaves old ones alone."""
+    df.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
 def write_csv_report(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -68,7 +68,11 @@ def encode_events(
     source: str = "litmark",
     rules: EventRules | None = None,
 ) -> DataFrame:
-    """One event per row as nested columns: the new rate is the old one plus ``change``, kept within 0 and 100."""
+    """One event per row as nested columns: the new rate is the old one plus ``change``, kept within 0 and 100.
+
+    Without ``event_id`` every evaluation draws new ids; pass a hash of the row key where events may be encoded again.
+    ``sinks.write_json_lines(events, folder, "append")`` stores them as new line files.
+    """
     rules = rules or EventRules()
     old = F.col("taxa_alfabetizacao").cast("double")
     new = round2(clamp(old + round2(change)))
