@@ -16,7 +16,7 @@ def connection():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.QUERIES))
 def test_query(spark, connection, name):
     assert compare(spark, connection, name, entry.queries()[name], entry.oracle_sql().get(name), FOLDER) == []
 
@@ -26,7 +26,7 @@ def test_entry(spark):
 
 
 def test_every_query_but_the_plan_estimate_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"plan_size"}
+    assert set(entry.QUERIES) - set(entry.oracle_sql()) == {"plan_size"}
 
 
 def test_status_and_trend_branches_all_occur(spark):
