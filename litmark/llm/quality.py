@@ -18,6 +18,8 @@ from litmark.llm.common import SPACES, flat, sums
 
 # At most so many labelled documents are used for fitting, those with the lowest hash of their id.
 LABELLED_ROWS = 20_000
+# Scores from here on count as quality 1.
+ACCEPTED = 0.7
 TREES, DEPTH, BINS, RATE, LEAST_WEIGHT, SHRINK = 80, 4, 64, 0.15, 1.0, 1.0
 
 _CLASSES = {
@@ -203,3 +205,8 @@ def score(trees: Trees, text: Column) -> Column:
         return pa.array(trees.score(statistics(texts)))
 
     return apply(text)
+
+
+def drop_poor(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that score ``ACCEPTED`` or more, with all their columns."""
+    return docs.where(score(learn(docs, labels), docs["text"]) >= ACCEPTED)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from litmark.llm import quality
 from litmark.llm.common import documents
 from litmark.llm.exact import exact_groups
+from litmark.llm.simhash import near_duplicates
 from litmark.session import apply_settings
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,3 +49,18 @@ def op4_exact(spark, folder):
 def held_out(modulus: int, rest: int):
     """Rows whose labels are not learned from; a row without an id is never held out."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus == rest, F.lit(False))
+
+
+@query()
+def op6_quality(spark, folder):
+    docs = documents(spark, folder)
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where(~held_out(4, 2))
+    trees = quality.learn(docs, labels)
+    return docs.select("doc_id", held_out(4, 2).alias("held_out"), quality.score(trees, F.col("text")).alias("score")).withColumn(
+        "predicted", (F.col("score") >= quality.ACCEPTED).cast("int")
+    )
+
+
+@query()
+def op9_simhash(spark, folder):
+    return near_duplicates(documents(spark, folder)).select("doc_id", "fingerprint", "component_id")
