@@ -7,7 +7,9 @@ from collections.abc import Callable
 from litmark.llm import quality
 from litmark.llm.common import documents
 from litmark.llm.exact import exact_groups
+from litmark.llm.packing import pack
 from litmark.llm.simhash import near_duplicates
+from litmark.llm.tokens import token_counts
 from litmark.session import apply_settings
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,3 +66,16 @@ def op6_quality(spark, folder):
 @query()
 def op9_simhash(spark, folder):
     return near_duplicates(documents(spark, folder)).select("doc_id", "fingerprint", "component_id")
+
+
+@query()
+def op3_packing(spark, folder):
+    return pack(documents(spark, folder))
+
+
+@query()
+def op10_tokens(spark, folder):
+    counts = token_counts(spark, F.col("text")).alias("counts")
+    return documents(spark, folder).select("doc_id", counts).select(
+        "doc_id", "counts.n_bytes", "counts.n_tokens", (F.col("counts.n_tokens") > 512).alias("over_limit")
+    )
