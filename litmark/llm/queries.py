@@ -7,6 +7,7 @@ from collections.abc import Callable
 from litmark.llm import quality
 from litmark.llm.common import documents
 from litmark.llm.exact import exact_groups
+from litmark.llm.leaks import with_leaks
 from litmark.llm.packing import pack
 from litmark.llm.simhash import near_duplicates
 from litmark.llm.tokens import token_counts
@@ -79,3 +80,17 @@ def op10_tokens(spark, folder):
     return documents(spark, folder).select("doc_id", counts).select(
         "doc_id", "counts.n_bytes", "counts.n_tokens", (F.col("counts.n_tokens") > 512).alias("over_limit")
     )
+
+
+@query()
+def op8_leaks(spark, folder):
+    """One row per document and benchmark item that it holds."""
+    found = with_leaks(documents(spark, folder).select("doc_id", "text"), spark.read.parquet(f"{folder}/benchmark.parquet"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
+@query()
+def pipeline(spark, folder):
+    from corpus_pipeline import run
+
+    return run(spark, folder)
