@@ -8,6 +8,7 @@ from litmark.llm import quality
 from litmark.llm.common import documents
 from litmark.llm.exact import exact_groups
 from litmark.llm.leaks import with_leaks
+from litmark.llm.lines import dedup_lines
 from litmark.llm.packing import pack
 from litmark.llm.simhash import near_duplicates
 from litmark.llm.tokens import token_counts
@@ -94,3 +95,23 @@ def pipeline(spark, folder):
     from corpus_pipeline import run
 
     return run(spark, folder)
+
+
+LINES_SQL = r"""
+WITH l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+s AS (SELECT doc_id, unnest(generate_series(1, len(lines))) AS i, unnest(lines) AS line FROM l),
+t AS (SELECT doc_id, i, regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS t FROM s),
+w AS (SELECT doc_id, i, lead(i) OVER d AS j, lead(i, 2) OVER d AS k, [t, lead(t) OVER d, lead(t, 2) OVER d] AS w
+  FROM t WHERE t <> '' WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+f AS (SELECT *, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS nth FROM w WHERE k IS NOT NULL),
+g AS (SELECT DISTINCT doc_id, unnest([i, j, k]) AS i FROM f WHERE nth > 1)
+SELECT s.doc_id, count(*) AS n_lines, count(g.i) AS n_removed,
+  sha256(coalesce(string_agg(s.line, chr(10) ORDER BY s.i) FILTER (WHERE g.i IS NULL), '')) AS kept_sha256
+FROM s LEFT JOIN g ON s.doc_id = g.doc_id AND s.i = g.i GROUP BY s.doc_id
+"""
+
+
+@query(LINES_SQL)
+def op2_lines(spark, folder):
+    found = dedup_lines(documents(spark, folder))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
