@@ -7,6 +7,8 @@ from collections.abc import Callable
 from litmark.llm import quality
 from litmark.llm.common import documents
 from litmark.llm.exact import exact_groups
+from litmark.llm.language import language
+from litmark.llm.language import learn as learn_language
 from litmark.llm.leaks import with_leaks
 from litmark.llm.lines import dedup_lines
 from litmark.llm.packing import pack
@@ -115,3 +117,13 @@ FROM s LEFT JOIN g ON s.doc_id = g.doc_id AND s.i = g.i GROUP BY s.doc_id
 def op2_lines(spark, folder):
     found = dedup_lines(documents(spark, folder))
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op5_language(spark, folder):
+    docs = documents(spark, folder)
+    model = learn_language(docs.where(~held_out(5, 0)))
+    found = language(model, F.col("text")).alias("found")
+    return docs.select("doc_id", held_out(5, 0).alias("held_out"), found).select(
+        "doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score")
+    )
