@@ -12,6 +12,7 @@ from litmark.llm.language import learn as learn_language
 from litmark.llm.leaks import with_leaks
 from litmark.llm.lines import dedup_lines
 from litmark.llm.packing import pack
+from litmark.llm.secrets import scan
 from litmark.llm.simhash import near_duplicates
 from litmark.llm.tokens import token_counts
 from litmark.session import apply_settings
@@ -127,3 +128,8 @@ def op5_language(spark, folder):
     return docs.select("doc_id", held_out(5, 0).alias("held_out"), found).select(
         "doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score")
     )
+
+
+@query()
+def op7_secrets(spark, folder):
+    return scan(documents(spark, folder))
