@@ -14,6 +14,7 @@ from litmark.llm.lines import dedup_lines
 from litmark.llm.packing import pack
 from litmark.llm.secrets import scan
 from litmark.llm.simhash import near_duplicates
+from litmark.llm.suffixes import remove_repeats
 from litmark.llm.tokens import token_counts
 from litmark.session import apply_settings
 from pyspark.sql import DataFrame, SparkSession
@@ -133,3 +134,8 @@ def op5_language(spark, folder):
 @query()
 def op7_secrets(spark, folder):
     return scan(documents(spark, folder))
+
+
+@query()
+def op1_suffixes(spark, folder):
+    return remove_repeats(documents(spark, folder)).drop("row")
