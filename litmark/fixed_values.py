@@ -112,7 +112,6 @@ CHECK_TARGET_ORPHANS = (
     "Metas sem resultado municipal",
     "Municípios com meta devem possuir resultado agregado na tabela municipio.",
 )
-CHECK_NETWORK_DOMAIN = ("Domínio da rede", "O código de rede deve pertencer ao domínio definido.")
 CHECK_NOT_EMPTY = ("Tabela não vazia", "A tabela Gold deve possuir pelo menos um registro.")
 CHECK_KEY_DUPLICATES = (
     "Duplicidades na chave analítica",

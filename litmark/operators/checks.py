@@ -107,6 +107,7 @@ def results(parts: list[DataFrame]) -> DataFrame:
             "valor_esperado",
             "detalhe",
         )
+        .orderBy("ordem")
     )
 
 

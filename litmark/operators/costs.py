@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,36 +43,6 @@ def usage_unavailable(spark: SparkSession, error: str) -> DataFrame:
     return spark.createDataFrame([(False, 0, 0, 0, 0, error)], schema)
 
 
-_SIZE = re.compile(r"Statistics\(sizeInBytes=([\d.]+(?:E[+-]?\d+)?) (B|KiB|MiB|GiB|TiB|PiB|EiB)")
-_UNIT = {"B": 0, "KiB": 1, "MiB": 2, "GiB": 3, "TiB": 4, "PiB": 5, "EiB": 6}
-
-
-def _bytes_of(line: str) -> int:
-    size = _SIZE.search(line)
-    return int(float(size.group(1)) * 1024 ** _UNIT[size.group(2)]) if size else 0
-
-
-def plan_bytes(spark: SparkSession, query: str, **frames: DataFrame) -> int:
-    """Bytes a query would read, from the statistics of its optimized plan. The query is not run.
-
-    Each source counts with the size of the projection right above it, which reflects column pruning.
-    """
-    text = spark.sql(f"EXPLAIN COST {query}", **frames).first()[0]
-    logical = text.split("== Physical Plan ==")[0].splitlines()
-    total = 0
-    for above, line in zip([""] + logical, logical, strict=False):
-        if re.search(r"\b(Relation|LocalRelation|LogicalRDD|Range)\b", line.split("Statistics")[0]):
-            total += _bytes_of(above if re.search(r"\bProject\b", above) else line)
-    return total
-
-
-def plan_sizes(spark: SparkSession, queries: dict[str, str], **frames: DataFrame) -> DataFrame:
-    """``(consulta, bytes_estimados, tamanho_estimado)`` of named queries, without running them."""
-    rows = [(name, plan_bytes(spark, text, **frames)) for name, text in queries.items()]
-    sizes = spark.createDataFrame(rows, "consulta string, bytes_estimados long")
-    return sizes.withColumn("tamanho_estimado", readable_bytes(F.col("bytes_estimados")))
-
-
 def storage_cost(
     tables: DataFrame, active_price: float = V.ACTIVE_USD_PER_GIB, long_term_price: float = V.LONG_TERM_USD_PER_GIB
 ) -> DataFrame:

@@ -9,21 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Measured bytes up to which a side is broadcast.
-BROADCAST_BYTES = 64 * 1024 * 1024
-ROW_OVERHEAD_BYTES = 32
-
-
-def small_side(df: DataFrame, measured_bytes: int | None) -> DataFrame:
-    """``df`` marked for broadcast when its measured size allows; otherwise left to the adaptive planner."""
-    return F.broadcast(df) if measured_bytes is not None and measured_bytes <= BROADCAST_BYTES else df
-
-
-def key_bytes(key: str) -> Column:
-    """Aggregate: the bytes the values of a text key take, with a share per row."""
-    return F.coalesce(F.sum(F.octet_length(key) + ROW_OVERHEAD_BYTES), F.lit(0))
-
-
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The row with the greatest ``order`` per key (later order entries break ties)."""
     rest = [c for c in df.columns if c not in keys]
@@ -48,14 +33,14 @@ def count_excess_rows(df: DataFrame) -> DataFrame:
 
 
 def orphan_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct keys of ``left`` (without NULLs) that ``right`` lacks."""
-    return left.select(*keys).na.drop().distinct().join(right.select(*keys), keys, "left_anti")
+    """Distinct keys of ``left`` (without NULLs) that ``right`` lacks. Both sides are reduced to their keys before the shuffle."""
+    return left.select(*keys).na.drop().distinct().join(right.select(*keys).distinct(), keys, "left_anti")
 
 
 def orphan_profile(left: DataFrame, right: DataFrame, key: str, year: str) -> DataFrame:
     """Rows and first/last year of each orphan key, most frequent first.
 
-    The left side is grouped before the join: the join sees one row per key instead of every row of a frequent key.
+    Both sides are grouped before the join: it sees one row per key instead of every row of a frequent key.
     """
     profile = (
         left.where(F.col(key).isNotNull())
@@ -66,7 +51,7 @@ def orphan_profile(left: DataFrame, right: DataFrame, key: str, year: str) -> Da
             F.max(year).alias("ultimo_ano"),
         )
     )
-    orphans = profile.join(right.select(key), key, "left_anti")
+    orphans = profile.join(right.select(key).distinct(), key, "left_anti")
     return orphans.orderBy(F.desc("quantidade_registros"), F.asc_nulls_last(key))
 
 
@@ -84,13 +69,12 @@ def tally(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count("*").alias("quantidade"))
 
 
-def unseen_keys(batch: DataFrame, history: DataFrame, key: str, measured_bytes: int | None = None) -> DataFrame:
+def unseen_keys(batch: DataFrame, history: DataFrame, key: str) -> DataFrame:
     """Rows of a small ``batch`` whose key the large ``history`` lacks.
 
-    An anti-join cannot broadcast its left side, so the history is first reduced to the keys of the batch: a
-    semi-join that broadcasts the batch keys when they are measured to be small, and then needs no shuffle of the history.
-    The keys found again are a subset of the batch keys, so the same measure bounds them.
+    An anti-join cannot broadcast its left side, so the history is first reduced to the keys of the batch by a semi-join,
+    for which the adaptive planner broadcasts the batch keys if they are small. Give only the part of the history that can hold keys of the
+    batch (see ``consumer.stored_events``).
     """
-    ids = small_side(batch.select(key).distinct(), measured_bytes)
-    seen = history.select(key).join(ids, key, "left_semi").distinct()
-    return batch.join(small_side(seen, measured_bytes), key, "left_anti")
+    seen = history.select(key).join(batch.select(key).distinct(), key, "left_semi").distinct()
+    return batch.join(seen, key, "left_anti")

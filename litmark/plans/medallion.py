@@ -21,14 +21,13 @@ from litmark.sources.snapshots import (
     SILVER_DATE,
     extract_year,
     newest_folder,
+    newest_folders,
     read_latest,
     read_latest_per,
     write_snapshot,
     write_yearly_snapshot,
 )
 
-ROWS_PER_FILE = 100_000
-
 
 @dataclass(frozen=True)
 class Layers:
@@ -51,14 +50,16 @@ def ingest_table(source: DataFrame, layers: Layers, table: str, date: str) -> in
     return write_snapshot(source, layers.bronze(table), date, BRONZE_DATE)
 
 
-def ingest_students(source: DataFrame, layers: Layers, years: list[int], date: str) -> int:
-    """The student rows of the given years to dated Bronze snapshots, one per year, in bounded files.
+def ingest_students(
+    source: DataFrame, layers: Layers, years: list[int], date: str, rows_per_file: int | None = None
+) -> int:
+    """The student rows of the given years to dated Bronze snapshots, one per year; ``rows_per_file`` bounds their files.
 
     All years are one job; the year predicate reaches the source scan.
     """
     wanted = extract_year(source, years[0]) if len(years) == 1 else source.where(F.col("ano").isin(years))
     path = layers.bronze(V.SILVER_STUDENTS)
-    return write_yearly_snapshot(wanted, path, date, BRONZE_DATE, rows_per_file=ROWS_PER_FILE)
+    return write_yearly_snapshot(wanted, path, date, BRONZE_DATE, rows_per_file=rows_per_file)
 
 
 def refine_table(spark: SparkSession, layers: Layers, table: str, date: str) -> dict[str, int]:
@@ -72,13 +73,13 @@ def refine_table(spark: SparkSession, layers: Layers, table: str, date: str) ->
     return _counts(bronze.count(), saved)
 
 
-def refine_students(spark: SparkSession, layers: Layers, date: str) -> dict[str, int]:
+def refine_students(spark: SparkSession, layers: Layers, date: str, rows_per_file: int | None = None) -> dict[str, int]:
     """The newest Bronze snapshot of each year of the students, cleaned, to Silver."""
     bronze = read_latest_per(spark, layers.bronze(V.SILVER_STUDENTS), BRONZE_DATE)
     silver = add_lineage(clean_students(bronze))
-    with sized_shuffles(spark, layers.bronze(V.SILVER_STUDENTS)):
+    with sized_shuffles(spark, *newest_folders(spark, layers.bronze(V.SILVER_STUDENTS), BRONZE_DATE)):
         saved = write_yearly_snapshot(
-            silver, layers.silver(V.SILVER_STUDENTS), date, SILVER_DATE, rows_per_file=ROWS_PER_FILE
+            silver, layers.silver(V.SILVER_STUDENTS), date, SILVER_DATE, rows_per_file=rows_per_file
         )
     return _counts(bronze.count(), saved)
 

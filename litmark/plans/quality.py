@@ -29,6 +29,9 @@ GOLD_KEYS = {
 }
 GOLD_REQUIRED = {**GOLD_KEYS, V.GOLD_INDICATOR: ["ano", "id_municipio", "codigo_rede"]}
 
+# An extra check of this engine.
+CHECK_NETWORK_DOMAIN = ("Domínio da rede", "O código de rede deve pertencer ao domínio definido.")
+
 
 def _text(pair: tuple[str, str], **values) -> dict[str, str]:
     return {"name": pair[0].format(**values), "detail": pair[1].format(**values)}
@@ -99,7 +102,7 @@ def _student_measures(
         for i, y in enumerate(years)
     ]
     if check_networks:
-        checks.append(Check(90, table, **_text(V.CHECK_NETWORK_DOMAIN), found=F.col("rede_fora")))
+        checks.append(Check(90, table, **_text(CHECK_NETWORK_DOMAIN), found=F.col("rede_fora")))
     return [measures(row, checks)]
 
 

@@ -44,24 +44,22 @@ def build_session(app: str = "litmark", master: str | None = None, **settings: s
 SHUFFLE_SETTING = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 # Compressed input bytes per shuffle partition; such a partition fits in the memory of a task after decompression.
 INPUT_BYTES_PER_PARTITION = 32 * 1024 * 1024
-MOST_PARTITIONS = 100_000
 
 
 @contextmanager
 def sized_shuffles(spark: SparkSession, *paths: str) -> Iterator[int]:
     """Shuffles start with as many partitions as the files below ``paths`` need; adaptive planning merges small ones.
 
-    Sizes come from listing the files. Small inputs keep the session's own number.
+    Sizes come from listing the files, so name the folders that are read and no others.
     """
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
     size = listing.agg(F.sum("length")).first()[0] or 0
-    wanted = min(MOST_PARTITIONS, size // INPUT_BYTES_PER_PARTITION)
     before = spark.conf.get(SHUFFLE_SETTING, None)
     usual = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
-    if wanted > usual:
-        spark.conf.set(SHUFFLE_SETTING, str(wanted))
+    wanted = max(usual, size // INPUT_BYTES_PER_PARTITION)
+    spark.conf.set(SHUFFLE_SETTING, str(wanted))
     try:
-        yield max(wanted, usual)
+        yield wanted
     finally:
         if before is None:
             spark.conf.unset(SHUFFLE_SETTING)

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import json
+import re
+import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from litmark import fixed_values as V
 from litmark.functions.numbers import readable_bytes
+from litmark.sources.publish import put_in_place, remove_folder, staging_folder
 from litmark.sources.sinks import reconcile
 
 RETENTION_PROPERTY = "retention_ms"
@@ -44,15 +48,16 @@ def create_database(
 def cluster(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows in ranges of ``columns`` and sorted inside each task.
 
-    The range key ends with a hash of the row position, so a value that fills a large share of the table is spread over
-    several ranges instead of one task.
+    The range key goes on with a hash of the whole row, so a value that fills a large share of the table is spread over several
+    ranges instead of one task, and a repeated task deals its rows as before. Only rows that are equal in every column are told apart by
+    their position; ``load_table`` counts what arrives before it replaces anything.
     """
-    spread = F.xxhash64(F.monotonically_increasing_id())
+    spread = {"_spread": F.xxhash64(*df.columns), "_place": F.monotonically_increasing_id()}
     return (
-        df.withColumn("_spread", spread)
-        .repartitionByRange(*columns, "_spread")
+        df.withColumns(spread)
+        .repartitionByRange(*columns, *spread)
         .sortWithinPartitions(*columns)
-        .drop("_spread")
+        .drop(*spread)
     )
 
 
@@ -66,21 +71,60 @@ def load_table(
 ) -> int:
     """Replace ``table`` with ``df`` and check that every row arrived; returns the row count.
 
-    Many inputs are loaded as one united frame, so readers never see a half-loaded table.
+    The rows are written to a folder beside the table first. Only when it holds as many rows as the source, which is counted on its
+    own, does it take the place of ``table``; until then, and if anything fails, readers see the old one.
     """
     spark = df.sparkSession
-    sent = Observation("sent")
+    database = table.rpartition(".")[0] or spark.catalog.currentDatabase()
+    staged = staging_folder(f"{spark.catalog.getDatabase(database).locationUri}/{table.rpartition('.')[2]}")
     rows = cluster(df, clustering) if clustering else df
-    # Counted in the writing stage: range partitioning samples what comes before it, and only the last stage counts each
-    # task once when tasks are repeated.
-    rows = rows.observe(sent, F.count("*").alias("rows"))
-    writer = rows.write.mode("overwrite").format("parquet").option("compression", "zstd")
-    if partitioning:
-        writer = writer.partitionBy(*partitioning)
-    writer.saveAsTable(table)
-    reconcile(table, sent.get["rows"], spark.table(table).count())
+    try:
+        _files(rows, partitioning).parquet(staged)
+        stored = spark.read.schema(df.schema).parquet(staged).count()
+        reconcile(table, df.count(), stored)
+        _replace(df, table, staged, partitioning)
+    finally:
+        remove_folder(spark, staged)
     describe_table(spark, table, description, {**(labels or {}), **_clustering_property(clustering)})
-    return sent.get["rows"]
+    return stored
+
+
+def _files(rows: DataFrame, partitioning: list[str] | None):
+    writer = rows.write.format("parquet").option("compression", "zstd")
+    return writer.partitionBy(*partitioning) if partitioning else writer
+
+
+def _make(df: DataFrame, table: str, files: str, partitioning: list[str] | None) -> None:
+    """A table of the schema of ``df`` with the files of a folder, which is moved."""
+    spark = df.sparkSession
+    _files(df.limit(0), partitioning).saveAsTable(table)
+    put_in_place(spark, files, _metadata(spark, table)["location"])
+    if partitioning:
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(table)
+
+
+def _replace(df: DataFrame, table: str, staged: str, partitioning: list[str] | None) -> None:
+    """The staged files become ``table``. The files of the old table wait aside, and come back if the catalogue refuses the new one."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        return _make(df, table, staged, partitioning)
+    old, empty = _metadata(spark, table), spark.createDataFrame([], spark.table(table).schema)
+    aside = staging_folder(old["location"])
+    # Moved before the drop: dropping a table deletes the folders of its partitions.
+    put_in_place(spark, old["location"], aside)
+    try:
+        spark.sql(f"DROP TABLE {table}")
+        _make(df, table, staged, partitioning)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        _make(empty, table, aside, old.get("partition_columns"))
+        raise
+    remove_folder(spark, aside)
+
+
+def _metadata(spark: SparkSession, table: str) -> dict:
+    return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {table} AS JSON").first()[0])
 
 
 def _clustering_property(clustering: list[str] | None) -> dict[str, str]:
@@ -97,11 +141,11 @@ def describe_table(
 
 
 def expected_objects(spark: SparkSession, expected: list[str], found: DataFrame, column: str) -> DataFrame:
-    """``(objeto, situacao)``: OK or missing, for each expected name."""
-    wanted = spark.createDataFrame([(n,) for n in expected], "objeto string")
-    listed = found.select(F.col(column).alias("objeto"), F.lit(True).alias("_found"))
+    """``(objeto, situacao)``: OK or missing, for each expected name. The catalogue keeps names in lower case."""
+    wanted = spark.createDataFrame([(n, n.lower()) for n in expected], "objeto string, _name string")
+    listed = found.select(F.lower(column).alias("_name"), F.lit(True).alias("_found")).distinct()
     situation = F.when(F.col("_found"), "OK").otherwise("NÃO ENCONTRADA")
-    return wanted.join(listed, "objeto", "left").select("objeto", situation.alias("situacao"))
+    return wanted.join(listed, "_name", "left").select("objeto", situation.alias("situacao"))
 
 
 def tables_of(spark: SparkSession, database: str) -> DataFrame:
@@ -134,11 +178,8 @@ INVENTORY_SCHEMA = (
 def retention_days(spark: SparkSession, database: str) -> float | None:
     """Default table retention of a database in days, from its property in milliseconds."""
     listed = {r[0]: r[1] for r in spark.sql(f"DESCRIBE DATABASE EXTENDED {database}").collect()}
-    for entry in listed.get("Properties", "").strip("()").split("), ("):
-        key, _, value = entry.strip("()").partition(",")
-        if key.strip() == RETENTION_PROPERTY:
-            return round(int(value.strip()) / MILLIS_PER_DAY, 2)
-    return None
+    found = re.search(rf"(?:^\(|, )\({RETENTION_PROPERTY},\s*(\d+)\)(?:, \(|\)$)", listed.get("Properties", ""))
+    return round(int(found.group(1)) / MILLIS_PER_DAY, 2) if found else None
 
 
 def inventory(spark: SparkSession, names: list[str], long_term_days: int = 90) -> DataFrame:

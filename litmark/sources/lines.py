@@ -35,7 +35,7 @@ def scan_lines(reader, path: str, glob: str | None = None) -> DataFrame:
 def mark_positions(lines: DataFrame) -> DataFrame:
     """Adds ``posicao``, which grows by one from line to line of a split.
 
-    Persist the result (or write it to a table) before ``number_lines``: the positions must come from one scan.
+    ``number_lines`` uses the result twice: ``lines`` must be a scan of files, which gives the same splits each time, or persisted.
     """
     return lines.withColumn("posicao", F.monotonically_increasing_id())
 
@@ -62,9 +62,8 @@ def number_lines(marked: DataFrame) -> DataFrame:
 
 
 def read_numbered_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Lines with their numbers, blank lines dropped. The scan is kept so that both uses of it agree."""
-    marked = mark_positions(scan_lines(spark.read, path, glob)).persist()
-    return number_lines(marked).where(strip(F.col("value")) != "")
+    """Lines with their numbers, blank lines dropped. Both uses read the same files in the same splits, so nothing is kept."""
+    return number_lines(mark_positions(scan_lines(spark.read, path, glob))).where(strip(F.col("value")) != "")
 
 
 def has_files(spark: SparkSession, path: str, glob: str = "*") -> bool:
@@ -78,13 +77,20 @@ def has_files(spark: SparkSession, path: str, glob: str = "*") -> bool:
         raise
 
 
-def _unknown_fields(text, schema: T.StructType, path: str = "$"):
-    """Names in the JSON object at ``path`` (and in nested objects) that the schema lacks."""
-    here = F.json_object_keys(text if path == "$" else F.get_json_object(text, path))
-    extra = F.array_except(F.coalesce(here, F.array().cast("array<string>")), F.lit([f.name for f in schema.fields]))
-    for field in schema.fields:
-        if isinstance(field.dataType, T.StructType):
-            extra = F.concat(extra, _unknown_fields(text, field.dataType, f"{path}.{field.name}"))
+def _nested(kind: T.DataType) -> bool:
+    return isinstance(kind, T.StructType) or isinstance(kind, T.ArrayType) and _nested(kind.elementType)
+
+
+def _unknown_fields(text, kind: T.DataType):
+    """Names in a JSON text, in the objects and arrays below it too, that its type lacks."""
+    none = F.array().cast("array<string>")
+    if isinstance(kind, T.ArrayType):
+        elements = F.from_json(text, "array<string>")
+        return F.coalesce(F.flatten(F.transform(elements, lambda x: _unknown_fields(x, kind.elementType))), none)
+    extra = F.array_except(F.coalesce(F.json_object_keys(text), none), F.lit([f.name for f in kind.fields]))
+    for field in kind.fields:
+        if _nested(field.dataType):
+            extra = F.concat(extra, _unknown_fields(F.get_json_object(text, f"$.{field.name}"), field.dataType))
     return extra
 
 
@@ -141,37 +147,37 @@ def job_history(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def count_parquet_rows(spark: SparkSession, path: str) -> DataFrame:
+def count_parquet_rows(spark: SparkSession, path: str, tolerant: bool = False) -> DataFrame:
     """``(arquivo, registros)`` of Parquet files. No column is read, so the counts come from the footers."""
-    return _rows_per_file(_reader(spark, "*.parquet").schema("_none int").parquet(path))
+    return _rows_per_file(_reader(spark, "*.parquet", tolerant).schema("_none int").parquet(path))
 
 
-def count_json_rows(spark: SparkSession, path: str, glob: str = "*.json*") -> DataFrame:
+def count_json_rows(spark: SparkSession, path: str, glob: str = "*.json*", tolerant: bool = False) -> DataFrame:
     """``(arquivo, registros)`` of line files; blank lines do not count."""
-    return _rows_per_file(_reader(spark, glob).text(path).where(strip(F.col("value")) != ""))
+    return _rows_per_file(_reader(spark, glob, tolerant).text(path).where(strip(F.col("value")) != ""))
 
 
-def count_csv_rows(spark: SparkSession, path: str) -> DataFrame:
+def count_csv_rows(spark: SparkSession, path: str, tolerant: bool = False) -> DataFrame:
     """``(arquivo, registros)`` of CSV files with a header line."""
-    counted = _rows_per_file(_reader(spark, "*.csv").text(path))
+    counted = _rows_per_file(_reader(spark, "*.csv", tolerant).text(path))
     return counted.withColumn("registros", F.greatest(F.lit(0), F.col("registros") - 1))
 
 
 def count_rows_by_file(spark: SparkSession, path: str) -> DataFrame:
-    """``(arquivo, registros)`` over all known file types below ``path``; unreadable files count zero."""
+    """``(arquivo, registros)`` over all known file types below ``path``; unreadable files are passed over.
+
+    This is the tolerant count for metrics; the counts above fail on a broken file, as loads must.
+    """
     return (
-        count_parquet_rows(spark, path)
-        .unionByName(count_json_rows(spark, path))
-        .unionByName(count_csv_rows(spark, path))
+        count_parquet_rows(spark, path, tolerant=True)
+        .unionByName(count_json_rows(spark, path, tolerant=True))
+        .unionByName(count_csv_rows(spark, path, tolerant=True))
     )
 
 
-def _reader(spark: SparkSession, glob: str):
-    return (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob)
-        .option("ignoreCorruptFiles", True)
-    )
+def _reader(spark: SparkSession, glob: str, tolerant: bool):
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+    return reader.option("ignoreCorruptFiles", True) if tolerant else reader
 
 
 def _rows_per_file(df: DataFrame) -> DataFrame:

@@ -5,15 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from litmark.sources.publish import put_in_place, staging_folder
+
 
 class ReconciliationError(RuntimeError):
     """The rows that arrived differ from the rows that were sent."""
 
 
 def write_counted(df: DataFrame, path: str, mode: str = "overwrite") -> int:
-    """ZSTD Parquet; returns the rows written, counted during the write instead of by reading back."""
+    """ZSTD Parquet; returns the rows written, counted during the write instead of by reading back.
+
+    Overwriting writes aside and puts the folder in place at the end, so a failed write leaves the old one.
+    """
     written = Observation("written")
-    df.observe(written, F.count("*").alias("rows")).write.mode(mode).option("compression", "zstd").parquet(path)
+    staged = staging_folder(path) if mode == "overwrite" else path
+    df.observe(written, F.count("*").alias("rows")).write.mode(mode).option("compression", "zstd").parquet(staged)
+    if staged != path:
+        put_in_place(df.sparkSession, staged, path)
     return written.get["rows"]
 
 

@@ -1,16 +1,20 @@
 """Dated snapshots: ``<table>/<date column>=YYYY-MM-DD`` and ``<table>/ano=Y/<date column>=YYYY-MM-DD``.
 
-Finding the newest snapshot lists files and reads partition values; no data file is opened. The read then names the
-chosen folders, so older snapshots are neither listed again nor scanned.
+Finding the newest snapshot lists the names of one or two folder levels; nothing below a dated folder is listed and no data file
+is opened. The read then names the chosen folders. A dated snapshot is written aside, counted and put in place, so a failed run leaves
+the one before; folders without Spark's success mark are passed over.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from litmark.sources.publish import child_names, put_in_place, staging_folder
+from litmark.sources.sinks import reconcile
+
 BRONZE_DATE = "data_ingestao"
 SILVER_DATE = "data_processamento"
 
@@ -39,26 +43,17 @@ def union_by_name(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def _partition_text(column: str) -> Column:
-    return F.regexp_extract(F.col("path"), f"/{column}=([^/]+)/", 1)
-
-
-def _listing(spark: SparkSession, path: str) -> DataFrame:
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .load(path)
-        .select("path")
-    )
+def _values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Partition values of one folder level, greatest first."""
+    return sorted((n.partition("=")[2] for n in child_names(spark, path) if n.startswith(f"{column}=")), reverse=True)
 
 
 def latest_snapshot(spark: SparkSession, path: str, column: str) -> str:
-    """The greatest snapshot value that holds data."""
-    newest = _listing(spark, path).agg(F.max(_partition_text(column))).first()[0]
-    if not newest:
-        raise FileNotFoundError(f"no {column}=… snapshot below {path}")
-    return newest
+    """The greatest snapshot value whose folder was written to the end."""
+    for value in _values(spark, path, column):
+        if "_SUCCESS" in child_names(spark, f"{path}/{column}={value}"):
+            return value
+    raise FileNotFoundError(f"no {column}=… snapshot below {path}")
 
 
 def read_latest(spark: SparkSession, path: str, column: str = BRONZE_DATE) -> DataFrame:
@@ -71,19 +66,25 @@ def newest_folder(spark: SparkSession, path: str, column: str = BRONZE_DATE) ->
 
 
 def latest_snapshots(spark: SparkSession, path: str, column: str, by: str = "ano") -> list[tuple[str, str]]:
-    """The greatest snapshot of each value of ``by``: one pair per value, a handful of years."""
-    found = (
-        _listing(spark, path)
-        .groupBy(_partition_text(by).alias("value"))
-        .agg(F.max(_partition_text(column)).alias("newest"))
-        .where("value <> '' AND newest <> ''")
-    )
-    pairs = sorted((r["value"], r["newest"]) for r in found.collect())
+    """The greatest snapshot of each value of ``by``: one pair per value, a handful of years.
+
+    Years are written with dynamic overwriting, which moves a year's files in when the job has ended, so a folder with files is whole.
+    """
+    pairs = []
+    for value in sorted(_values(spark, path, by)):
+        for newest in _values(spark, f"{path}/{by}={value}", column):
+            if any(n.endswith(".parquet") for n in child_names(spark, f"{path}/{by}={value}/{column}={newest}")):
+                pairs.append((value, newest))
+                break
     if not pairs:
         raise FileNotFoundError(f"no {by}=…/{column}=… snapshot below {path}")
     return pairs
 
 
+def newest_folders(spark: SparkSession, path: str, column: str = BRONZE_DATE, by: str = "ano") -> list[str]:
+    return [f"{path}/{by}={value}/{column}={newest}" for value, newest in latest_snapshots(spark, path, column, by)]
+
+
 def read_latest_per(
     spark: SparkSession, path: str, column: str = BRONZE_DATE, by: str = "ano", only: list[str] | None = None
 ) -> DataFrame:
@@ -103,10 +104,19 @@ def read_latest_per(
 def write_snapshot(
     df: DataFrame, path: str, date: str, column: str = BRONZE_DATE, rows_per_file: int | None = None
 ) -> int:
-    """Replace one dated snapshot (other dates stay); returns the rows written, counted while writing."""
+    """Replace one dated snapshot (other dates stay); returns the rows written.
+
+    The rows counted while writing must be those that the written footers hold before the folder is put in place.
+    """
+    spark = df.sparkSession
+    target = f"{path}/{column}={date}"
+    staged = staging_folder(target)
     written = Observation("written")
-    _writer(df.observe(written, F.count("*").alias("rows")), rows_per_file).parquet(f"{path}/{column}={date}")
-    return written.get["rows"]
+    _writer(df.observe(written, F.count("*").alias("rows")), rows_per_file).parquet(staged)
+    rows = written.get["rows"]
+    reconcile(target, rows, spark.read.schema(df.schema).parquet(staged).count())
+    put_in_place(spark, staged, target)
+    return rows
 
 
 def write_yearly_snapshot(

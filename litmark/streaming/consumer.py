@@ -9,15 +9,16 @@ import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from litmark.operators.keys import key_bytes, latest_per_key, unseen_keys
+from litmark.operators.keys import latest_per_key, unseen_keys
 from litmark.sources.lines import mark_positions, number_lines, scan_lines
-from litmark.streaming.events import EventRules, invalid_events, parse_events, valid_events
+from litmark.sources.publish import child_names, put_in_place, remove_folder, staging_folder
+from litmark.streaming.events import EVENT_SCHEMA, EventRules, invalid_events, parse_events, valid_events
 
-BATCH = "lote"
+BATCH, BUCKET = "lote", "balde"
 
 
 class InvalidEventsError(ValueError):
@@ -26,9 +27,14 @@ class InvalidEventsError(ValueError):
 
 @dataclass(frozen=True)
 class EventStore:
-    """Where events go: accepted rows, rejected rows, and counters, all below one folder."""
+    """Where events go: accepted rows, rejected rows, and counters, all below one folder.
+
+    Accepted rows lie in folders by a hash of their key, so a batch meets only the part of the history that can hold its keys.
+    ``buckets`` belongs to the store: it must stay the same while the store lives.
+    """
 
     path: str
+    buckets: int = 16
 
     @property
     def accepted(self) -> str:
@@ -75,15 +81,20 @@ def counters(parsed: DataFrame, unique_events: DataFrame, new_events: DataFrame)
     )
 
 
-def stored_events(spark: SparkSession, store: EventStore, except_batch: str | None = None) -> DataFrame | None:
-    """Accepted events of other batches, or None when there are none yet."""
-    try:
-        stored = spark.read.option("mergeSchema", False).parquet(store.accepted)
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
-            return None
-        raise
-    return stored if except_batch is None else stored.where(F.col(BATCH) != except_batch)
+def stored_events(
+    spark: SparkSession, store: EventStore, except_batch: str | None = None, buckets: list[int] | None = None
+) -> DataFrame | None:
+    """Accepted events of other batches, or None when there are none yet; with ``buckets``, of these buckets only.
+
+    The schema is given, so batch names stay text whatever they look like, and no footer is read for it.
+    """
+    found = [n for n in child_names(spark, store.accepted) if n.startswith(f"{BUCKET}=")]
+    wanted = found if buckets is None else [n for n in found if int(n.partition("=")[2]) in set(buckets)]
+    if not wanted:
+        return None
+    reader = spark.read.option("basePath", store.accepted).schema(f"{EVENT_SCHEMA}, {BUCKET} int, {BATCH} string")
+    stored = reader.parquet(*[f"{store.accepted}/{n}" for n in wanted]).drop(BUCKET)
+    return stored if except_batch is None else stored.where(~F.col(BATCH).eqNullSafe(except_batch))
 
 
 def consume(
@@ -114,14 +125,11 @@ def consume(
         stored = unique = 0
         if valid_rows:
             last = keep_last(valid_events(numbered)).persist()
-            unique, size = last.agg(F.count("*"), key_bytes("event_id")).first()
-            history = stored_events(spark, store, except_batch=batch)
-            new = last if history is None else unseen_keys(last, history, "event_id", size)
-            new = new.persist()
-            stored = new.count()
-            if stored:
-                _write_batch(new.sortWithinPartitions("event_timestamp_utc"), store.accepted, batch)
-            new.unpersist()
+            met = last.groupBy(_bucket(store).alias(BUCKET)).agg(F.count("*").alias("n")).collect()
+            unique = sum(r["n"] for r in met)
+            history = stored_events(spark, store, batch, [r[BUCKET] for r in met])
+            new = last if history is None else unseen_keys(last, history, "event_id")
+            stored = _write_accepted(spark, new, store, batch)
             last.unpersist()
     finally:
         parsed.unpersist()
@@ -137,8 +145,34 @@ def consume(
     return totals
 
 
+def _bucket(store: EventStore):
+    return F.pmod(F.xxhash64("event_id"), F.lit(store.buckets)).cast("int")
+
+
+def _write_accepted(spark: SparkSession, new: DataFrame, store: EventStore, batch: str) -> int:
+    """The new events of a batch in place of those an earlier try has stored; returns their number.
+
+    All are written aside first. Each bucket is then put in place by a rename, so a retry after a failure in between ends in the same state.
+    """
+    staged = staging_folder(store.accepted)
+    sent = Observation("sent")
+    rows = new.withColumn(BUCKET, _bucket(store)).hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, "event_timestamp_utc")
+    rows.observe(sent, F.count("*").alias("rows")).write.option("compression", "zstd").partitionBy(BUCKET).parquet(staged)
+    made = [n for n in child_names(spark, staged) if n.startswith(f"{BUCKET}=")]
+    for name in made:
+        put_in_place(spark, f"{staged}/{name}", f"{store.accepted}/{name}/{BATCH}={batch}")
+    for name in child_names(spark, store.accepted):
+        if name not in made and f"{BATCH}={batch}" in child_names(spark, f"{store.accepted}/{name}"):
+            remove_folder(spark, f"{store.accepted}/{name}/{BATCH}={batch}")
+    remove_folder(spark, staged)
+    return sent.get["rows"]
+
+
 def _write_batch(df: DataFrame, path: str, batch: str) -> None:
-    df.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/{BATCH}={batch}")
+    target = f"{path}/{BATCH}={batch}"
+    staged = staging_folder(target)
+    df.write.option("compression", "zstd").parquet(staged)
+    put_in_place(df.sparkSession, staged, target)
 
 
 def replay_all(

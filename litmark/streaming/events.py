@@ -36,6 +36,14 @@ EVENT_COLUMNS = [
 ]
 
 
+# The same columns with their types, as stored.
+EVENT_SCHEMA = (
+    "event_id string, event_type string, event_timestamp_utc timestamp, schema_version string, source string, ano int, "
+    "id_municipio string, id_uf string, codigo_rede int, rede string, taxa_alfabetizacao_anterior double, "
+    "taxa_alfabetizacao_atualizada double, variacao_pp double, arquivo_origem string, numero_linha_origem long, "
+    "processado_em_utc timestamp"
+)
+
 # Types the fields are read as. Numbers are accepted as text, numeric text as numbers; anything else is NULL.
 EVENT_TYPES = (
     "struct<event_id: string, event_type: string, event_timestamp_utc: string, schema_version: string, source: string, "

@@ -127,3 +127,18 @@ def test_iso_timestamps(spark):
     base = 1783850400000000
     expected = [base, base, base, base + 1, base - 36_000_000_000, None, None, None, None, None]
     assert column(spark, values, "string", lambda c: F.unix_micros(times.iso_timestamp(c))) == expected
+
+
+def test_short_iso_forms(spark):
+    from litmark.functions.times import iso_timestamp
+
+    good = {
+        "20240101T100000Z": "2024-01-01 10:00:00", "2024-01-01T10Z": "2024-01-01 10:00:00", "2024-01-01T10:30:00z": "2024-01-01 10:30:00",
+        "20240101": "2024-01-01 00:00:00", "2024-01-01T1030+0200": "2024-01-01 08:30:00", "20240101T10-03": "2024-01-01 13:00:00",
+        "2024-01-01 10:00:00.5": "2024-01-01 10:00:00.5", "2024-01-01T10:00:00-03:00": "2024-01-01 13:00:00",
+    }
+    bad = ["2024-0101", "202401-01", "2024-13-01T10Z", "20240101T", "2024-01-01T1", "12/07/2026", "", "2024-01-01T10:00:00 x", None]
+    df = spark.createDataFrame([(t,) for t in [*good, *bad]], "t string")
+    found = {r.t: r.x for r in df.select("t", iso_timestamp(F.col("t")).cast("string").alias("x")).collect()}
+    assert {t: found[t] for t in good} == good
+    assert {t: found[t] for t in bad} == dict.fromkeys(bad)

@@ -25,8 +25,8 @@ def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-def test_every_query_but_the_plan_estimate_has_sql():
-    assert set(entry.QUERIES) - set(entry.oracle_sql()) == {"plan_size"}
+def test_every_query_has_sql():
+    assert set(entry.QUERIES) == set(entry.ORACLES)
 
 
 def test_status_and_trend_branches_all_occur(spark):

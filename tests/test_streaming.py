@@ -137,6 +137,37 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     assert K.stored_events(spark, store).count() == 2
 
 
+def test_batches_of_any_name_store_a_key_once(spark, tmp_path):
+    source, store = tmp_path / "in", K.EventStore(str(tmp_path / "out"))
+    write(source, "e.jsonl", *[event(f"k{i}") for i in range(40)])
+    for name in ("01", "1", "2026-01-01", "nightly-2"):
+        made = K.replay_all(spark, str(source), store, name)
+        assert made["novos"] == (40 if name == "01" else 0)
+    K.start_stream(spark, str(source), store, str(tmp_path / "check")).awaitTermination()
+    assert K.replay_all(spark, str(source), store, "01")["novos"] == 40
+    found = K.stored_events(spark, store)
+    assert found.count() == 40 and {r["lote"] for r in found.select("lote").collect()} == {"01"}
+
+
+def test_a_batch_reads_its_buckets_only(spark, tmp_path):
+    source, store = tmp_path / "in", K.EventStore(str(tmp_path / "out"), buckets=64)
+    write(source, "e.jsonl", *[event(f"k{i}") for i in range(200)])
+    K.replay_all(spark, str(source), store, "1")
+    assert K.stored_events(spark, store).count() == 200
+    some = K.stored_events(spark, store, buckets=[3])
+    assert 0 < some.count() < 20
+    assert all("/balde=3/" in f for f in some.inputFiles())
+
+
+def test_a_retry_with_fewer_events_replaces_all_of_the_batch(spark, tmp_path):
+    source, store = tmp_path / "in", K.EventStore(str(tmp_path / "out"))
+    write(source, "e.jsonl", *[event(f"k{i}") for i in range(50)])
+    K.replay_all(spark, str(source), store, "1")
+    write(source, "e.jsonl", event("k7"))
+    assert K.replay_all(spark, str(source), store, "1")["novos"] == 1
+    assert sorted(stored(spark, store)) == ["k7"]
+
+
 def test_fail_fast_stores_nothing(spark, tmp_path):
     source, store = tmp_path / "in", K.EventStore(str(tmp_path / "out"))
     write(source, "e.jsonl", event("a"), "{bad")

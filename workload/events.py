@@ -284,3 +284,20 @@ def strict_json(spark, folder):
     write_json_lines(orders, root)
     return read_strict_json(spark, root, orders.schema)
 
+
+
+@query(
+    f"""SELECT '01' AS lote, count(*) AS novos FROM ({KEPT_SQL}) UNION ALL SELECT '1', 0 UNION ALL SELECT '2026-01-01', 0
+    UNION ALL SELECT 'fluxo', 0 UNION ALL SELECT 'total', count(DISTINCT event_id) FROM ({KEPT_SQL})"""
+)
+def event_batch_names(spark, folder):
+    """Replays named like numbers and dates, and a stream, on one store: the first one stores every key, the others none."""
+    root = scratch_folder(spark, "eventos")
+    store = K.EventStore(f"{root}/silver")
+    _write_lines(event_lines(spark, folder), f"{root}/bronze")
+    new = {name: K.replay_all(spark, f"{root}/bronze", store, name)["novos"] for name in ("01", "1", "2026-01-01")}
+    seen: list[dict[str, int]] = []
+    K.start_stream(spark, f"{root}/bronze", store, f"{root}/checkpoint", after_batch=seen.append).awaitTermination()
+    new["fluxo"] = sum(s["novos"] for s in seen)
+    counted = spark.createDataFrame(list(new.items()), "lote string, novos long")
+    return counted.unionAll(K.stored_events(spark, store).agg(F.lit("total"), F.count("*")))

@@ -70,15 +70,16 @@ SELECT CASE WHEN l_linenumber = 7 THEN 'sem ano' ELSE CAST(CAST(year(l_shipdate)
 FROM {lineitem}
 """
 
-# Municipalities with a published result, and with targets, in the students' code space.
+# Municipalities with a published result, and with targets, in the students' code space. Some have codes of another state, so the students
+# of these orders are orphans.
 PUBLISHED = """
-SELECT '21' || lpad(CAST(o_orderkey AS VARCHAR(20)), 12, '0') AS id_municipio, CAST(year(o_orderdate) AS INT) AS ano,
+SELECT CASE WHEN o_orderstatus = 'P' THEN '29' ELSE '21' END || lpad(CAST(o_orderkey AS VARCHAR(20)), 12, '0') AS id_municipio, CAST(year(o_orderdate) AS INT) AS ano,
   o_orderstatus AS rede, o_totalprice AS taxa_alfabetizacao
-FROM {orders} WHERE o_orderstatus <> 'P'
+FROM {orders}
 """
 PLANNED = """
-SELECT '21' || lpad(CAST(o_orderkey AS VARCHAR(20)), 12, '0') AS id_municipio, o_orderpriority AS rede
-FROM {orders} WHERE o_orderpriority <> '5-LOW'
+SELECT CASE WHEN o_orderpriority = '5-LOW' THEN '28' ELSE '21' END || lpad(CAST(o_orderkey AS VARCHAR(20)), 12, '0') AS id_municipio, o_orderpriority AS rede
+FROM {orders}
 """
 
 # Change events before encoding; every kind of broken event occurs.

@@ -7,7 +7,7 @@ from litmark.operators import checks as Q
 from litmark.operators import cleaning as C
 from litmark.operators import keys as K
 from litmark.plans import indicators as I
-from litmark.plans.quality import GOLD_KEYS, GOLD_REQUIRED, gold_report, silver_report
+from litmark.plans.quality import CHECK_NETWORK_DOMAIN, GOLD_KEYS, GOLD_REQUIRED, gold_report, silver_report
 from litmark.session import scratch_folder
 from litmark.sources.sinks import write_csv_report
 from workload import fixtures as X
@@ -71,7 +71,7 @@ def _silver_sql() -> str:
         parts.append(_check_sql(31 + i, table_name="alunos", **text(V.CHECK_ROWS_IN_YEAR, year=year),
                                 found=f"{count} WHERE ano = {year}", expected=str(rows)))
     codes = ", ".join(f"'{c}'" for c in V.NETWORK_LABELS)
-    parts.append(_check_sql(90, table_name="alunos", **text(V.CHECK_NETWORK_DOMAIN),
+    parts.append(_check_sql(90, table_name="alunos", **text(CHECK_NETWORK_DOMAIN),
                             found=f"{count} WHERE rede NOT IN ({codes}) OR rede IS NULL"))
     for order, name, source, pair, status in [
         (100, "alunos", students, V.CHECK_STUDENT_ORPHANS, _warn),

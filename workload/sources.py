@@ -226,3 +226,41 @@ def json_file_load(spark, folder):
     assert not M.load_json_files(spark, f"{root}/ausente", customers.schema, "*", f"{database}.ausente")
     M.load_json_files(spark, f"{root}/in", customers.schema, "part-*", f"{database}.clientes")
     return spark.table(f"{database}.clientes")
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE year(o_orderdate) IN (1997, 1998)")
+def pattern_scan(spark, folder):
+    """Files found by a path pattern over year and date folders."""
+    root = scratch_folder(spark, "padrao")
+    S.write_yearly_snapshot(_yearly(spark, folder), root, "2026-01-01")
+    return S.read_by_name(spark, f"{root}/ano=199[78]/data_ingestao=*").select("o_orderkey", "o_totalprice")
+
+
+@query("SELECT 'pedidos' AS tabela, count(*) AS na_origem, count(*) AS carregadas, count(*) + 1 AS apos_recarga FROM orders")
+def load_counts(spark, folder):
+    """Rows of the source, rows loaded, and rows after the table is replaced."""
+    database = f"litmark_{uuid.uuid4().hex}"
+    catalog.create_database(spark, database, location=scratch_folder(spark, database))
+    orders = table(spark, folder, "orders").drop("o_orderdate")
+    loaded = catalog.load_table(orders, f"{database}.pedidos", ["o_orderstatus"])
+    more = orders.unionAll(orders.agg(*[F.max(c).alias(c) for c in orders.columns]))
+    again = catalog.load_table(more, f"{database}.pedidos", ["o_orderstatus"])
+    return orders.agg(F.lit("pedidos").alias("tabela"), F.count("*").alias("na_origem")).select(
+        "*", F.lit(loaded).cast("long").alias("carregadas"), F.lit(again).cast("long").alias("apos_recarga")
+    )
+
+
+@query(
+    f"""SELECT 'indicador' AS tabela, 'Indicador por município' AS comentario, 'gold' AS camada, 'teste' AS ambiente,
+    (SELECT count(*) FROM ({INDICATOR_SQL})) AS linhas
+    UNION ALL SELECT 'pedidos', 'Pedidos de ''teste''', 'gold', 'teste', (SELECT count(*) FROM orders)"""
+)
+def table_notes(spark, folder):
+    """Comment and labels of loaded tables, read back from the catalogue."""
+    database = _load(spark, folder)
+    noted = []
+    for name in ("indicador", "pedidos"):
+        properties = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {database}.{name}").collect()}
+        comment = spark.catalog.getTable(f"{database}.{name}").description
+        noted.append((name, comment, properties["camada"], properties["ambiente"], spark.table(f"{database}.{name}").count()))
+    return spark.createDataFrame(noted, "tabela string, comentario string, camada string, ambiente string, linhas long")
