@@ -8,6 +8,7 @@ Spark tasks, and what reaches the driver is one number per piece and language.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -25,12 +26,15 @@ from litmark.llm.common import saved
 
 # At most so many labelled documents of a language are fitted on, those with the lowest hash of their id.
 LABELLED_ROWS = 1_000
+DEALT = 64
 ROUNDS, ADDED = 2, 0.1
 # Longer words are taken in stretches of this many letters, which keeps the sums within a double.
 LONGEST = 32
 CACHED_NUMBERS = 2_000_000
+# Texts whose new words are scored together.
+TOGETHER = 64
 BEGIN = "▁"
-_WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+_WORDS, _ASCII_WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*"), re.compile("[a-z]+")
 
 
 def vocabulary_file(name: str = "piece_bpe_32k.model") -> str:
@@ -51,25 +55,30 @@ def vocabulary(path: str) -> dict[str, int]:
 
 
 @lru_cache(4)
-def _longest(path: str) -> int:
-    return max(map(len, vocabulary(path)))
+def _beginnings(path: str) -> frozenset[str]:
+    """All beginnings of pieces: a search stops where no piece goes on."""
+    return frozenset(p[:k] for p in vocabulary(path) for k in range(1, len(p) + 1))
 
 
 def words(text: str) -> list[str]:
     """Lower-cased runs of letters."""
-    return _WORDS.findall(text.lower())
+    lower = text.lower()
+    return _ASCII_WORDS.findall(lower) if lower.isascii() else _WORDS.findall(lower)
 
 
 def arcs(path: str, word: str) -> Iterator[list[tuple[int, int, int]]]:
     """Pieces (begin, end, number) of each stretch of a word, ordered by begin. A letter that no piece covers is piece 0."""
-    known, most = vocabulary(path), _longest(path)
+    known, beginnings = vocabulary(path), _beginnings(path)
     for low in range(0, len(word), LONGEST):
         part = (BEGIN if low == 0 else "") + word[low : low + LONGEST]
         found = []
         for i in range(len(part)):
             single = False
-            for j in range(i + 1, min(len(part), i + most) + 1):
-                number = known.get(part[i:j])
+            for j in range(i + 1, len(part) + 1):
+                piece = part[i:j]
+                if piece not in beginnings:
+                    break
+                number = known.get(piece)
                 if number is not None:
                     found.append((i, j, number))
                     single |= j == i + 1
@@ -78,18 +87,35 @@ def arcs(path: str, word: str) -> Iterator[list[tuple[int, int, int]]]:
         yield found
 
 
-def forward(found: list[tuple[int, int, int]], table: np.ndarray) -> np.ndarray:
-    """Sum over all segmentations, for each language, at every place. ``table`` is (pieces, languages)."""
-    alpha = np.zeros((found[-1][1] + 1, table.shape[1]))
-    alpha[0] = 1
-    for i, j, number in found:
-        alpha[j] += alpha[i] * table[number]
-    return alpha
+def word_scores(path: str, listed: list[str], table: np.ndarray) -> np.ndarray:
+    """Log probability of each word in each language, by one forward pass over all words side by side.
 
-
-def word_score(path: str, word: str, table: np.ndarray) -> np.ndarray:
-    """Log probability of a word in each language."""
-    return sum(np.log(forward(found, table)[-1]) for found in arcs(path, word))
+    ``alpha[k, i]`` is the sum over all segmentations of the first i letters of stretch k. ``table`` is (pieces, languages).
+    """
+    places, sources, pieces, begins, last = [], [], [], [], []
+    width = LONGEST + 2
+    for k, word in enumerate(listed):
+        for found in arcs(path, word):
+            base = len(last) * width
+            for i, j, number in found:
+                places.append(base + j)
+                sources.append(base + i)
+                pieces.append(number)
+                begins.append(i)
+            last.append((k, base + found[-1][1]))
+    place, source, piece, begin = (np.array(x, np.int64) for x in (places, sources, pieces, begins))
+    alpha = np.zeros((len(last) * width, table.shape[1]))
+    alpha[np.arange(len(last)) * width] = 1
+    order = np.argsort(begin, kind="stable")
+    place, source, piece = place[order], source[order], piece[order]
+    cuts = np.searchsorted(begin[order], np.arange(width + 1))
+    for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+        if low < high:
+            # Arcs of one stretch that begin together end apart, so no place occurs twice.
+            alpha[place[low:high]] += alpha[source[low:high]] * table[piece[low:high]]
+    out = np.zeros((len(listed), table.shape[1]))
+    np.add.at(out, [k for k, _ in last], np.log(alpha[[end for _, end in last]]))
+    return out
 
 
 @dataclass(frozen=True)
@@ -111,28 +137,29 @@ class Model:
         scores = np.zeros((0, len(self.languages)))
         most = max(1, CACHED_NUMBERS // max(1, len(self.languages)))
         rows, scores = _SCORES.get(self.name, (rows, scores))
+        counted = [Counter(words(text)) if text and self.languages else {} for text in texts.to_pylist()]
         labels, posterior = [], np.zeros(len(texts))
-        for i, text in enumerate(texts.to_pylist()):
-            own = Counter(words(text)) if text and self.languages else {}
-            if not own:
-                labels.append("und")
-                continue
-            fresh = [w for w in own if w not in rows]
+        for low in range(0, len(counted), TOGETHER):
+            part = counted[low : low + TOGETHER]
+            fresh = list({w: None for own in part for w in own if w not in rows})
+            if len(rows) + len(fresh) > most:
+                rows, scores = {}, np.zeros((0, len(self.languages)))
+                fresh = list({w: None for own in part for w in own})
             if fresh:
-                made = np.array([word_score(self.path, w, self.table) for w in fresh])
-                if len(rows) + len(fresh) > most:
-                    rows, scores = {}, np.zeros((0, len(self.languages)))
-                    fresh = list(own)
-                    made = np.array([word_score(self.path, w, self.table) for w in fresh])
+                made = word_scores(self.path, fresh, self.table)
                 if len(rows) + len(fresh) > len(scores):
                     scores = np.concatenate([scores[: len(rows)], np.zeros((max(len(fresh), len(rows), 1024), len(self.languages)))])
                 scores[len(rows) : len(rows) + len(fresh)] = made
                 rows.update(zip(fresh, range(len(rows), len(rows) + len(fresh)), strict=True))
-            at = np.fromiter(map(rows.__getitem__, own), np.int64, len(own))
-            total = self.prior + np.fromiter(own.values(), np.float64, len(own)) @ scores[at]
-            best = int(total.argmax())
-            labels.append(self.languages[best])
-            posterior[i] = 1 / np.exp(total - total[best]).sum()
+            for i, own in enumerate(part, low):
+                if not own:
+                    labels.append("und")
+                    continue
+                at = np.fromiter(map(rows.__getitem__, own), np.int64, len(own))
+                total = self.prior + np.fromiter(own.values(), np.float64, len(own)) @ scores[at]
+                best = int(total.argmax())
+                labels.append(self.languages[best])
+                posterior[i] = 1 / np.exp(total - total[best]).sum()
         _SCORES.clear()
         _SCORES[self.name] = (rows, scores)
         return labels, posterior
@@ -183,15 +210,18 @@ def _expected(path: str, languages: list[str], table: np.ndarray):
 def learn(docs: DataFrame, bound: int = LABELLED_ROWS, path: str | None = None) -> Model:
     """A model from ``docs`` (doc_id, text, lang). Rows without id, text or language are left out.
 
-    At most ``bound`` documents of a language are used, so the work of fitting has a fixed size for each language. The rank keeps
-    ``bound`` rows of a language in every task before the shuffle.
+    At most ``bound`` documents of a language are used, so the work of fitting has a fixed size for each language. The first rank
+    takes ``bound`` rows of each of ``DEALT`` parts of a language, the second the first of those.
     """
     path = path or vocabulary_file()
-    rank = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    part = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(DEALT)).alias("part")
     chosen = (
         docs.where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
-        .select("doc_id", "lang")
-        .withColumn("nth", rank)
+        .select("doc_id", "lang", part)
+        .withColumn("nth", F.row_number().over(W.partitionBy("lang", "part").orderBy(*order)))
+        .where(F.col("nth") <= bound)
+        .withColumn("nth", F.row_number().over(W.partitionBy("lang").orderBy(*order)))
         .where(F.col("nth") <= bound)
         .select("doc_id", "lang")
         .distinct()

@@ -24,7 +24,7 @@ def test_forward_sums_all_segmentations():
                 pieces = [part[a:b] for a, b in zip(places[:-1], places[1:], strict=True)]
                 if all(p in known or len(p) == 1 for p in pieces):
                     total += np.prod([table[known.get(p, 0)] for p in pieces], axis=0)
-        np.testing.assert_allclose(np.exp(language.word_score(PATH, word, table)), total)
+        np.testing.assert_allclose(np.exp(language.word_scores(PATH, ["other", word, word], table))[1], total)
 
 
 def test_long_words_and_batches_agree():
