@@ -9,6 +9,7 @@ filling that no other dominates, drops branches whose waste would reach the incu
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -91,23 +92,27 @@ def best_fit(counts: list[int], most: int) -> list[list[int]]:
     return bins
 
 
-def fillings(counts: list[int], room: int, waste: int, limit: int) -> list[tuple[int, tuple[int, ...]]]:
+def fillings(counts: list[int], room: int, waste: int, limit: int) -> list[tuple[int, array]]:
     """(room left, sizes) of the undominated ways to fill ``room`` with at most ``waste`` left, fullest first.
 
     A filling is dominated if another piece still fits, or if one of its pieces can be swapped for a larger one that fits: the
     other filling is then at least as good, as the smaller piece fits wherever the larger one would have gone.
     """
-    found: list[tuple[int, tuple[int, ...]]] = []
+    found: list[tuple[int, array]] = []
     present = 0
     for size in range(1, room + 1):
         if counts[size]:
             present |= 1 << size
     steps = 40 * limit
-    # Rest, largest size still allowed, sizes so far.
-    stack = [(room, room, ())]
+    # Rest, largest size still allowed, and the sizes so far as a chain, which open branches share.
+    stack: list[tuple[int, int, tuple | None]] = [(room, room, None)]
     while stack and steps and len(found) < limit:
         steps -= 1
-        rest, top, sizes = stack.pop()
+        rest, top, chain = stack.pop()
+        sizes, link = [], chain
+        while link:
+            sizes.append(link[0])
+            link = link[1]
         # Sizes in 1..min(rest, top) of which one is left.
         usable = present & ((1 << (min(rest, top) + 1)) - 1)
         for size in sizes:
@@ -129,12 +134,12 @@ def fillings(counts: list[int], room: int, waste: int, limit: int) -> list[tuple
                             break
                         larger &= larger - 1
                 if not swap:
-                    found.append((rest, sizes))
+                    found.append((rest, array("H", sizes)))
             continue
         options = []
         while usable:
             size = usable.bit_length() - 1
-            options.append((rest - size, size, (*sizes, size)))
+            options.append((rest - size, size, (size, chain)))
             usable &= ~(1 << size)
         stack.extend(reversed(options))
     return sorted(found, key=lambda f: f[0])
@@ -158,7 +163,7 @@ def complete(counts: list[int], most: int, nodes: int = NODES, limit: int = FILL
         allowed = (len(best) - 1) * most - total - waste
         ways = fillings(left, most - size, allowed, limit)[::-1] if allowed >= 0 else []
         left[size] += 1
-        frames.append(([(rest, (size, *sizes)) for rest, sizes in ways], waste))
+        frames.append(([(rest, array("H", (size, *sizes))) for rest, sizes in ways], waste))
 
     if len(best) > bound:
         expand(0)
@@ -218,6 +223,8 @@ def _pack_group(most: int):
 def pack(docs: DataFrame, most: int = TOKENS, end: int = END, path: str | None = None, group: int = GROUP) -> DataFrame:
     """One row per piece of ``docs`` (doc_id, text): doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
+    ``most`` is below 65,536.
+
     A document is its token ids and ``end``; null and empty texts are that one token. Repeated rows are packed each on their own.
     Longer documents are cut into pieces of ``most`` tokens, of which the first may be shorter. Other columns are ignored; an
     empty table gives an empty result.
