@@ -19,16 +19,30 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+SPLITS = "spark.sql.files.minPartitionNum"
+
+
+def pin_splits(spark: SparkSession) -> None:
+    """Files are split alike for the rest of the session.
+
+    Unset, the split size follows the number of cores, which changes when executors come or go; then two scans would number rows otherwise.
+    """
+    if spark.conf.get(SPLITS, None) is None:
+        spark.conf.set(SPLITS, str(spark.sparkContext.defaultParallelism))
+
+
 def numbered(docs: DataFrame, *columns: str) -> DataFrame:
     """``row`` (a number of its own for every row, repeated rows included), then ``columns`` (all others are dropped).
 
     Numbers follow the place of a row in the scan, so ``docs`` must be a table that is read, not the result of a shuffle.
     """
+    pin_splits(docs.sparkSession)
     return docs.select(F.monotonically_increasing_id().alias("row"), *columns)
 
 
 def keep_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose number by ``numbered`` is in ``rows``."""
+    pin_splits(docs.sparkSession)
     whole = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
     return whole.join(rows.select("row"), "row", "left_semi").select("doc.*")
 
