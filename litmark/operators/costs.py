@@ -1,4 +1,4 @@
-"""Storage and query cost: usage, plan size, prices, advice."""
+"""Storage and query cost: usage, prices, advice."""
 
 from __future__ import annotations
 
