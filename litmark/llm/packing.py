@@ -4,6 +4,8 @@ Pieces of documents are dealt at random into groups of about ``GROUP`` pieces; e
 than that, and at most a part of one sequence per group is lost against packing all at once. In a group, best-fit decreasing gives
 the first incumbent. If it is above the lower bound, a branch-and-bound search fills the bin of the largest open piece with every
 filling that no other dominates, drops branches whose waste would reach the incumbent's, and stops at the bound or its budget.
+A search spends a node on every bin, so one over all bins of a large group would end before its first packing. It therefore takes
+up ``SEARCHED`` bins, those with the most room and those of the most pieces, and keeps the others as best-fit made them.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ TOKENS, END = 1024, 2
 GROUP = 50_000
 # Search budget of a group: nodes visited, and fillings listed for a node. It bounds time; every piece is packed in any case.
 NODES, FILLINGS = 3_000, 64
+# Bins of a group that one search takes up, then the next; NODES is several times as many, so whole packings of them are reached.
+SEARCHED = (300, 600)
 
 
 def cut(total: int, most: int) -> list[tuple[int, int]]:
@@ -146,9 +150,26 @@ def fillings(counts: list[int], room: int, waste: int, limit: int) -> list[tuple
 
 
 def complete(counts: list[int], most: int, nodes: int = NODES, limit: int = FILLINGS) -> list[list[int]]:
-    """Bins of sizes for ``counts[size]`` pieces of each size."""
+    """Bins of sizes for ``counts[size]`` pieces of each size: best-fit decreasing, and searches over a part of its bins."""
     best = best_fit(counts, most)
     bound = lower_bound(counts, most)
+    for width in SEARCHED:
+        if len(best) <= bound:
+            break
+        # Room to gain is in the emptiest bins, and small pieces to fill it with in those of the most pieces.
+        best.sort(key=sum)
+        rest = sorted(best[width // 2 :], key=len, reverse=True)
+        few = width - width // 2
+        best = search(best[: width // 2] + rest[:few], most, nodes, limit) + rest[few:]
+        if len(rest) <= few:
+            break
+    return best
+
+
+def search(best: list[list[int]], most: int, nodes: int = NODES, limit: int = FILLINGS) -> list[list[int]]:
+    """The pieces of the bins ``best`` in fewer bins, if a search of at most ``nodes`` nodes finds such a packing."""
+    counts = np.bincount([size for sizes in best for size in sizes], minlength=most + 1).tolist()
+    bound = lower_bound(counts, most)
     total = sum(size * n for size, n in enumerate(counts))
     left = list(counts)
     chosen: list[list[int]] = []
