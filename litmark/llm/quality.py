@@ -170,7 +170,7 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = LABELLED_ROWS) -> Tre
 
     At most ``bound`` labelled ids are used, those with the lowest hash, so the broadcast ids and the collected statistics have a
     fixed size at any scale. Null ids and null labels are left out; of several labels of an id the lowest counts, of several
-    texts of an id one.
+    texts of an id the one of the lowest hash. Rows are reduced to that one by an aggregation with a partial step.
     """
     chosen = (
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
@@ -184,14 +184,14 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = LABELLED_ROWS) -> Tre
     def measure(texts: pa.Array) -> pa.Array:
         return pa.array(list(statistics(texts)), pa.list_(pa.float64()))
 
-    rows = (
+    # Every row is measured before the exchange, so what an id's rows leave there is one short array a task, not texts.
+    measured = (
         docs.select("doc_id", "text")
         .join(F.broadcast(chosen), "doc_id")
-        .select("doc_id", F.col("quality").cast("double").alias("y"), measure("text").alias("x"))
-        .toPandas()
-        .sort_values("doc_id", kind="stable")
-        .drop_duplicates("doc_id")
+        .select("doc_id", F.col("quality").cast("double").alias("y"), F.xxhash64("text").alias("hash"), measure("text").alias("x"))
     )
+    low = F.min(F.struct("hash", "x")).alias("low")
+    rows = measured.groupBy("doc_id", "y").agg(low).select("doc_id", "y", "low.x").toPandas().sort_values("doc_id", kind="stable")
     if rows.empty:
         return grow(np.zeros((0, WIDTH)), np.zeros(0))
     return grow(np.array(rows["x"].tolist()), (rows["y"].to_numpy() > 0).astype(float))

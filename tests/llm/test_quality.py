@@ -47,6 +47,25 @@ def test_too_few_labels(spark, table, labels):
     assert kept.schema == docs.schema
 
 
+def test_repeated_ids_are_reduced_before_they_are_collected(spark, table, monkeypatch):
+    texts = [f"text {k} " * (k + 1) for k in range(40)]
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    collected, fitted = [], []
+    plain, grow = type(labels).toPandas, quality.grow
+
+    def counted(frame):
+        rows = plain(frame)
+        collected.append(len(rows))
+        return rows
+
+    monkeypatch.setattr(type(labels), "toPandas", counted)
+    monkeypatch.setattr(quality, "grow", lambda x, y: fitted.append((x.tolist(), y.tolist())) or grow(x, y))
+    for order in (texts, texts[::-1]):
+        quality.learn(table([(1, t) for t in order] + [(2, "other")] * 3), labels)
+    assert collected == [2, 2]
+    assert fitted[0] == fitted[1]
+
+
 def test_empty_table(spark, table):
     docs = table([])
     assert quality.drop_poor(docs, spark.createDataFrame([], "doc_id long, quality int")).count() == 0
