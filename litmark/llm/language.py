@@ -210,15 +210,15 @@ def _expected(path: str, languages: list[str], table: np.ndarray):
 def learn(docs: DataFrame, bound: int = LABELLED_ROWS, path: str | None = None) -> Model:
     """A model from ``docs`` (doc_id, text, lang). Rows without id, text or language are left out.
 
-    At most ``bound`` documents of a language are used, so the work of fitting has a fixed size for each language. The first rank
-    takes ``bound`` rows of each of ``DEALT`` parts of a language, the second the first of those.
+    At most ``bound`` documents of a language give the pieces, so the work of fitting has a fixed size for each language. The first rank
+    takes ``bound`` rows of each of ``DEALT`` parts of a language, the second the first of those. The prior counts all documents.
     """
     path = path or vocabulary_file()
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     part = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(DEALT)).alias("part")
+    usable = docs.where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
     chosen = (
-        docs.where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
-        .select("doc_id", "lang", part)
+        usable.select("doc_id", "lang", part)
         .withColumn("nth", F.row_number().over(W.partitionBy("lang", "part").orderBy(*order)))
         .where(F.col("nth") <= bound)
         .withColumn("nth", F.row_number().over(W.partitionBy("lang").orderBy(*order)))
@@ -229,7 +229,7 @@ def learn(docs: DataFrame, bound: int = LABELLED_ROWS, path: str | None = None)
     chosen = saved(chosen, "chosen")
     sample = docs.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"], "left_semi").select("lang", "text")
     counts = saved(sample.mapInArrow(_count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
-    documents = {r.lang: r.n for r in chosen.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    documents = {r.lang: r.n for r in usable.select("doc_id", "lang").distinct().groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted({r.lang for r in counts.select("lang").distinct().collect()})
     size = len(vocabulary(path)) + 1
     table = np.full((size, len(languages)), 1 / size)

@@ -55,6 +55,13 @@ def test_learn_and_odd_rows(spark):
     assert {r.l.lang for r in docs.select(language.language(empty, F.col("text")).alias("l")).collect()} == {"und"}
 
 
+def test_prior_counts_documents_beyond_the_bound(spark):
+    rows = [(i, "the cat and the dog", "en") for i in range(9)] + [(i, "der hund und die katze", "de") for i in range(20, 23)]
+    model = language.learn(frame(spark, rows + rows[:1] * 5), bound=2)
+    assert model.languages == ["de", "en"]
+    np.testing.assert_allclose(np.exp(model.prior), [3 / 12, 9 / 12])
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
