@@ -16,6 +16,7 @@ from litmark.llm.secrets import scan
 from litmark.llm.simhash import near_duplicates
 from litmark.llm.suffixes import remove_repeats
 from litmark.llm.tokens import token_counts
+from litmark.llm.whitening import whiten
 from litmark.session import apply_settings
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -139,3 +140,20 @@ def op7_secrets(spark, folder):
 @query()
 def op1_suffixes(spark, folder):
     return remove_repeats(documents(spark, folder)).drop("row")
+
+
+@query()
+def op13_whitening(spark, folder):
+    """One row per vector and component, by falling variance."""
+    rows, fit, error = whiten(spark.read.parquet(f"{folder}/embeddings.parquet"))
+    shares = [v / fit.trace for v in fit.values.tolist()] if fit else []
+    n = fit.n if fit else 0
+    return rows.select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened")).select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        F.lit(n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(F.lit(shares).cast("array<double>"), "place").alias("explained"),
+        F.lit(error).alias("identity_error"),
+    )
