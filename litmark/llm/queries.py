@@ -12,6 +12,7 @@ from litmark.llm.language import learn as learn_language
 from litmark.llm.leaks import with_leaks
 from litmark.llm.lines import dedup_lines
 from litmark.llm.packing import pack
+from litmark.llm.personal import find as find_personal
 from litmark.llm.secrets import scan
 from litmark.llm.simhash import near_duplicates
 from litmark.llm.suffixes import remove_repeats
@@ -157,3 +158,20 @@ def op13_whitening(spark, folder):
         F.get(F.lit(shares).cast("array<double>"), "place").alias("explained"),
         F.lit(error).alias("identity_error"),
     )
+
+
+@query()
+def op11_personal(spark, folder):
+    """Base spans counted by kind, and all spans by kind and start."""
+
+    def joined(base: bool):
+        spans = F.filter("spans", lambda s: s.base) if base else F.col("spans")
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s.base & (s.kind == kind))).cast("long").alias(f"n_{kind}")
+
+    found = documents(spark, folder).select("doc_id", find_personal(F.col("text")).alias("spans"))
+    return found.select(
+        "doc_id", *[count(k) for k in ("email", "ip", "card", "phone")], F.sha2(joined(True), 256).alias("base_sha256"), joined(False).alias("spans")
+    )
