@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from litmark.llm import quality
+from litmark.llm.alignment import link_counts
 from litmark.llm.common import documents
 from litmark.llm.exact import exact_groups
 from litmark.llm.language import language
@@ -175,3 +176,8 @@ def op11_personal(spark, folder):
     return found.select(
         "doc_id", *[count(k) for k in ("email", "ip", "card", "phone")], F.sha2(joined(True), 256).alias("base_sha256"), joined(False).alias("spans")
     )
+
+
+@query()
+def op12_alignment(spark, folder):
+    return link_counts(documents(spark, folder)).drop("row")
