@@ -26,8 +26,8 @@ from litmark.llm.tokens import fast, tokenizer_file
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words that a worker remembers; past that it starts anew.
-CACHED = 200_000
+#: Words that a worker remembers, at about 350 bytes each; past that it starts anew.
+CACHED = 400_000
 #: Texts are taken in segments of about so many characters, cut where a word begins, and blocks of segments of about this size.
 SEGMENT = 1 << 20
 #: Searches that run side by side each find so many offsets one after another.
@@ -72,15 +72,14 @@ class Coder:
             for i in range(coder.get_piece_size())
         ]
 
-    def word(self, word: str) -> tuple[list[int], list[int]] | None:
-        """Ids of a space and the word; None if the bytes of either side's tokens differ from it."""
-        text = " " + word
-        a = self.fast.encode_ordinary(text) if _PLAIN.match(text) else self.slow.encode(text, add_special_tokens=False).ids
-        b = self.piece.encode(word, num_threads=1)
-        whole = text.encode()
-        if b"".join([self.bytes_a[i] for i in a]) != whole or b"".join([self.bytes_b[i] for i in b]) != whole:
-            return None
-        return a, b
+    def encoded(self, words: list[str]) -> Iterator[tuple[list[int], list[int]] | None]:
+        """Ids of a space and each word; None if the bytes of either side's tokens differ from it."""
+        for word, b in zip(words, self.piece.encode(words, num_threads=1), strict=True):
+            text = " " + word
+            a = self.fast.encode_ordinary(text) if _PLAIN.match(text) else self.slow.encode(text, add_special_tokens=False).ids
+            whole = text.encode()
+            same = b"".join([self.bytes_a[i] for i in a]) == whole == b"".join([self.bytes_b[i] for i in b])
+            yield (a, b) if same else None
 
     def segments(self, text: str) -> Iterator[list[str]]:
         """Words (what follows the space that begins each) of the text with a space before it, in segments."""
@@ -110,12 +109,11 @@ class Coder:
         if len(a) >= CACHED:
             a.clear()
             b.clear()
-        for word in set(words):
-            if word not in a:
-                found = self.word(word)
-                if found is None:
-                    return None
-                a[word], b[word] = (array("I", x).tobytes() for x in found)
+        missing = [w for w in set(words) if w not in a]
+        for word, found in zip(missing, self.encoded(missing), strict=True):
+            if found is None:
+                return None
+            a[word], b[word] = (array("I", x).tobytes() for x in found)
         return b"".join(map(a.__getitem__, words)), b"".join(map(b.__getitem__, words))
 
 
