@@ -24,6 +24,7 @@ from litmark.sources.snapshots import (
     newest_folders,
     read_latest,
     read_latest_per,
+    snapshot_folder,
     write_snapshot,
     write_yearly_snapshot,
 )
@@ -104,7 +105,7 @@ def build_gold(
         return write_snapshot(df, layers.gold(table), date, SILVER_DATE)
 
     def saved(table: str) -> DataFrame:
-        return spark.read.parquet(f"{layers.gold(table)}/{SILVER_DATE}={date}")
+        return spark.read.parquet(snapshot_folder(spark, layers.gold(table), date, SILVER_DATE))
 
     sources = {t: newest_folder(spark, layers.silver(t), SILVER_DATE) for t in (V.SILVER_RESULTS, V.SILVER_TARGETS)}
     municipal, wide = (spark.read.parquet(folder) for folder in sources.values())

@@ -7,13 +7,14 @@ import re
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from litmark import fixed_values as V
 from litmark.functions.numbers import readable_bytes
-from litmark.sources.publish import put_in_place, remove_folder, staging_folder
+from litmark.sources.commits import commit, last_commit
+from litmark.sources.publish import child_names, remove_folder, staging_folder
 from litmark.sources.sinks import reconcile
 
 RETENTION_PROPERTY = "retention_ms"
@@ -50,7 +51,8 @@ def cluster(df: DataFrame, columns: list[str]) -> DataFrame:
 
     The range key goes on with a hash of the whole row, so a value that fills a large share of the table is spread over several
     ranges instead of one task, and a repeated task deals its rows as before. Only rows that are equal in every column are told apart by
-    their position; ``load_table`` counts what arrives before it replaces anything.
+    their position; ``load_table`` counts what arrives before it replaces anything. Ranges are drawn from a sample, for which ``df`` is run once
+    more: give a table that is read.
     """
     spread = {"_spread": F.xxhash64(*df.columns), "_place": F.monotonically_increasing_id()}
     return (
@@ -71,20 +73,32 @@ def load_table(
 ) -> int:
     """Replace ``table`` with ``df`` and check that every row arrived; returns the row count.
 
-    The rows are written to a folder beside the table first. Only when it holds as many rows as the source, which is counted on its
-    own, does it take the place of ``table``; until then, and if anything fails, readers see the old one.
+    The rows go to a new folder of the table. Only when its footers hold as many rows as the source gave is the folder committed
+    (``commits``) and the table pointed to it. A run that dies before leaves the old table; one that dies in between is finished by
+    ``restore_tables`` or the next load. The folder that was replaced stays until the next load, for readers still at work.
+    The source runs once: for clustering it is written as it comes, and what lies there is put into ranges.
     """
     spark = df.sparkSession
-    database = table.rpartition(".")[0] or spark.catalog.currentDatabase()
-    staged = staging_folder(f"{spark.catalog.getDatabase(database).locationUri}/{table.rpartition('.')[2]}")
-    rows = cluster(df, clustering) if clustering else df
+    home = _home(spark, table)
+    version = f"v{uuid.uuid4().hex}"
+    arrived = f"{home}/_entrada-{version}" if clustering else f"{home}/{version}"
+    sent = Observation("sent")
     try:
-        _files(rows, partitioning).parquet(staged)
-        stored = spark.read.schema(df.schema).parquet(staged).count()
-        reconcile(table, df.count(), stored)
-        _replace(df, table, staged, partitioning)
+        _files(df.observe(sent, F.count("*").alias("rows")), None if clustering else partitioning).parquet(arrived)
+        if clustering:
+            _files(cluster(spark.read.schema(df.schema).parquet(arrived), clustering), partitioning).parquet(f"{home}/{version}")
+        stored = spark.read.schema(df.schema).parquet(f"{home}/{version}").count()
+        reconcile(table, sent.get["rows"], stored)
+        number, state = last_commit(spark, home)
+        made = {"folder": version, "schema": df.schema.jsonValue(), "partitioning": partitioning or []}
+        commit(spark, home, number, {**state, **made}, [state["folder"]] if "folder" in state else [], grace=1)
+    except Exception:
+        remove_folder(spark, f"{home}/{version}")
+        raise
     finally:
-        remove_folder(spark, staged)
+        if clustering:
+            remove_folder(spark, arrived)
+    point_table(spark, table)
     describe_table(spark, table, description, {**(labels or {}), **_clustering_property(clustering)})
     return stored
 
@@ -94,33 +108,71 @@ def _files(rows: DataFrame, partitioning: list[str] | None):
     return writer.partitionBy(*partitioning) if partitioning else writer
 
 
-def _make(df: DataFrame, table: str, files: str, partitioning: list[str] | None) -> None:
-    """A table of the schema of ``df`` with the files of a folder, which is moved."""
-    spark = df.sparkSession
-    _files(df.limit(0), partitioning).saveAsTable(table)
-    put_in_place(spark, files, _metadata(spark, table)["location"])
-    if partitioning:
-        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
-    spark.catalog.refreshTable(table)
+def _home(spark: SparkSession, table: str) -> str:
+    """Where the versions and commits of a table lie, in a hidden folder of its database."""
+    database = table.rpartition(".")[0] or spark.catalog.currentDatabase()
+    return f"{_versions(spark, database)}/{table.rpartition('.')[2].lower()}"
 
 
-def _replace(df: DataFrame, table: str, staged: str, partitioning: list[str] | None) -> None:
-    """The staged files become ``table``. The files of the old table wait aside, and come back if the catalogue refuses the new one."""
-    spark = df.sparkSession
+def _versions(spark: SparkSession, database: str) -> str:
+    return f"{spark.catalog.getDatabase(database).locationUri}/_versoes"
+
+
+def _state(spark: SparkSession, table: str) -> tuple[str, T.StructType, list[str]]:
+    home = _home(spark, table)
+    state = last_commit(spark, home)[1]
+    if "folder" not in state:
+        raise FileNotFoundError(f"{table} has no commit")
+    return f"{home}/{state['folder']}", T.StructType.fromJson(state["schema"]), state["partitioning"]
+
+
+def read_committed(spark: SparkSession, table: str) -> DataFrame:
+    """The rows of the newest commit of a table, whatever the catalogue says of it."""
+    location, schema, _ = _state(spark, table)
+    return spark.read.schema(schema).parquet(location)
+
+
+def point_table(spark: SparkSession, table: str) -> None:
+    """Make the catalogue show the newest commit of ``table``. May be repeated.
+
+    While the columns stay, the new location is one change of the catalogue. A table that is new, or whose columns or partitioning change,
+    is made empty first. Partitions are found in the folder, so none of them has a location of its own.
+    """
+    location, schema, partitioning = _state(spark, table)
+    fields = [f for f in schema if f.name not in partitioning] + [schema[c] for c in partitioning]
+    shape = [(f.name, f.dataType.simpleString()) for f in fields], partitioning
+    old = None
+    if spark.catalog.tableExists(table):
+        known = _metadata(spark, table)
+        old = known["location"]
+        if shape != ([(f.name, f.dataType.simpleString()) for f in spark.table(table).schema], known.get("partition_columns") or []):
+            # Dropping a table deletes the folder it shows, so it shows an empty one first.
+            spark.sql(f"ALTER TABLE {table} SET LOCATION {_quoted(staging_folder(location))}")
+            spark.sql(f"DROP TABLE {table}")
+            old = None if "/_versoes/" in old else old
     if not spark.catalog.tableExists(table):
-        return _make(df, table, staged, partitioning)
-    old, empty = _metadata(spark, table), spark.createDataFrame([], spark.table(table).schema)
-    aside = staging_folder(old["location"])
-    # Moved before the drop: dropping a table deletes the folders of its partitions.
-    put_in_place(spark, old["location"], aside)
-    try:
-        spark.sql(f"DROP TABLE {table}")
-        _make(df, table, staged, partitioning)
-    except Exception:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        _make(empty, table, aside, old.get("partition_columns"))
-        raise
-    remove_folder(spark, aside)
+        before = spark.conf.get(_TRACKED)
+        spark.conf.set(_TRACKED, "false")
+        try:
+            _files(spark.createDataFrame([], schema), partitioning).saveAsTable(table)
+        finally:
+            spark.conf.set(_TRACKED, before)
+        old = old or _metadata(spark, table)["location"]
+    spark.sql(f"ALTER TABLE {table} SET LOCATION {_quoted(location)}")
+    spark.catalog.refreshTable(table)
+    if old and "/_versoes/" not in old:
+        remove_folder(spark, old)
+
+
+_TRACKED = "spark.sql.hive.manageFilesourcePartitions"
+
+
+def restore_tables(spark: SparkSession, database: str) -> list[str]:
+    """Make the catalogue show every table of a database that has a commit; returns their names."""
+    names = child_names(spark, _versions(spark, database))
+    for name in names:
+        point_table(spark, f"{database}.{name}")
+    return names
 
 
 def _metadata(spark: SparkSession, table: str) -> dict:

@@ -1,6 +1,7 @@
 """Folders that are written aside and then put in place, and listings of one folder level.
 
-A failed write leaves what was there before. Names that begin with an underscore are not read by Spark.
+This is for folders that readers name themselves, such as reports; a process that dies between the two moves leaves the old folder aside.
+Tables have a commit point instead (``commits``). Names that begin with an underscore are not read by Spark.
 """
 
 from __future__ import annotations
@@ -10,14 +11,14 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def _filesystem(spark: SparkSession, path: str):
+def filesystem(spark: SparkSession, path: str):
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names in one folder, without what lies below them; empty when it is absent."""
-    files, target = _filesystem(spark, path)
+    files, target = filesystem(spark, path)
     return sorted(f.getPath().getName() for f in files.listStatus(target)) if files.exists(target) else []
 
 
@@ -27,21 +28,24 @@ def staging_folder(path: str) -> str:
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
-    files, target = _filesystem(spark, path)
+    files, target = filesystem(spark, path)
     files.delete(target, True)
 
 
 def put_in_place(spark: SparkSession, staged: str, path: str) -> None:
     """``staged`` becomes ``path``; what was there is set aside first, and comes back if the move fails."""
-    files, source = _filesystem(spark, staged)
-    target = _filesystem(spark, path)[1]
+    files, source = filesystem(spark, staged)
+    target = filesystem(spark, path)[1]
     files.mkdirs(target.getParent())
-    aside = _filesystem(spark, staging_folder(path))[1] if files.exists(target) else None
+    aside = filesystem(spark, staging_folder(path))[1] if files.exists(target) else None
     if aside is not None and not files.rename(target, aside):
         raise OSError(f"{path} cannot be set aside")
-    if not files.rename(source, target):
+    try:
+        if not files.rename(source, target):
+            raise OSError(f"{staged} cannot be put in place of {path}")
+    except Exception:
         if aside is not None:
             files.rename(aside, target)
-        raise OSError(f"{staged} cannot be put in place of {path}")
+        raise
     if aside is not None:
         files.delete(aside, True)
