@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from litmark import fixed_values as V
 from litmark.functions.numbers import readable_bytes
 from litmark.sources.commits import commit, last_commit
-from litmark.sources.publish import child_names, remove_folder, staging_folder
+from litmark.sources.publish import child_names, folder_bytes, remove_folder, staging_folder
 from litmark.sources.sinks import reconcile
 
 RETENTION_PROPERTY = "retention_ms"
@@ -90,7 +90,8 @@ def load_table(
         stored = spark.read.schema(df.schema).parquet(f"{home}/{version}").count()
         reconcile(table, sent.get["rows"], stored)
         number, state = last_commit(spark, home)
-        made = {"folder": version, "schema": df.schema.jsonValue(), "partitioning": partitioning or []}
+        size = folder_bytes(spark, f"{home}/{version}")
+        made = {"folder": version, "schema": df.schema.jsonValue(), "partitioning": partitioning or [], "rows": stored, "bytes": size}
         commit(spark, home, number, {**state, **made}, [state["folder"]] if "folder" in state else [], grace=1)
     except Exception:
         remove_folder(spark, f"{home}/{version}")
@@ -223,7 +224,7 @@ _METADATA = T.StructType(
 )
 
 INVENTORY_SCHEMA = (
-    "dataset string, metadados string, expiracao_padrao_dataset_dias double, agora timestamp"
+    "dataset string, metadados string, expiracao_padrao_dataset_dias double, agora timestamp, _rows long, _bytes long"
 )
 
 
@@ -235,9 +236,10 @@ def retention_days(spark: SparkSession, database: str) -> float | None:
 
 
 def inventory(spark: SparkSession, names: list[str], long_term_days: int = 90) -> DataFrame:
-    """One row per table of the named databases, from catalogue metadata and statistics (no data is read here).
+    """One row per table of the named databases, from catalogue metadata; no data is read.
 
-    Run ``refresh_statistics`` first to have row counts. A table untouched for ``long_term_days`` is long-term storage.
+    Rows and bytes of tables that ``load_table`` made are those of their commits; for others run ``refresh_statistics`` first. A table
+    untouched for ``long_term_days`` is long-term storage.
     """
     now = datetime.now(timezone.utc)
     described = []
@@ -245,17 +247,18 @@ def inventory(spark: SparkSession, names: list[str], long_term_days: int = 90) -
         days = retention_days(spark, database)
         for table in tables_of(spark, database).collect():
             statement = f"DESCRIBE TABLE EXTENDED {database}.{table['tableName']} AS JSON"
-            described.append((database, spark.sql(statement).first()[0], days, now))
+            kept = _loaded(spark, database, table["tableName"])
+            described.append((database, spark.sql(statement).first()[0], days, now, kept.get("rows"), kept.get("bytes")))
     rows = spark.createDataFrame(described, INVENTORY_SCHEMA)
     meta = F.col("_meta")
-    size = F.coalesce(meta["statistics"]["size_in_bytes"], F.lit(0).cast("long"))
+    size = F.coalesce("_bytes", meta["statistics"]["size_in_bytes"], F.lit(0).cast("long"))
     created = F.to_timestamp(meta["created_time"], "yyyy-MM-dd'T'HH:mm:ssX")
     is_old = F.coalesce(created < F.col("agora") - F.make_dt_interval(F.lit(long_term_days)), F.lit(False))
     return rows.withColumn("_meta", F.from_json("metadados", _METADATA)).select(
         "dataset",
         meta["table_name"].alias("tabela"),
         F.coalesce(meta["type"], F.lit("TABLE")).alias("tipo"),
-        F.coalesce(meta["statistics"]["num_rows"], F.lit(0).cast("long")).alias("linhas"),
+        F.coalesce("_rows", meta["statistics"]["num_rows"], F.lit(0).cast("long")).alias("linhas"),
         size.alias("bytes_totais"),
         F.when(is_old, F.lit(0).cast("long")).otherwise(size).alias("bytes_ativos"),
         F.when(is_old, size).otherwise(F.lit(0).cast("long")).alias("bytes_longo_prazo"),
@@ -269,6 +272,16 @@ def inventory(spark: SparkSession, names: list[str], long_term_days: int = 90) -
     )
 
 
+def _loaded(spark: SparkSession, database: str, table: str) -> dict:
+    """The commit of a table, if the catalogue shows what it names."""
+    home = f"{_versions(spark, database)}/{table}"
+    state = last_commit(spark, home)[1]
+    shown = state and _metadata(spark, f"{database}.{table}")["location"].rstrip("/").endswith(f"/_versoes/{table}/{state['folder']}")
+    return state if shown else {}
+
+
 def refresh_statistics(spark: SparkSession, database: str) -> None:
-    """Row counts and sizes of every table of a database, kept in the catalogue."""
-    spark.sql(f"ANALYZE TABLES IN {database} COMPUTE STATISTICS")
+    """Row counts and sizes of the tables of a database that were not made by ``load_table``, kept in the catalogue."""
+    for table in tables_of(spark, database).collect():
+        if not _loaded(spark, database, table["tableName"]):
+            spark.sql(f"ANALYZE TABLE {database}.{table['tableName']} COMPUTE STATISTICS")

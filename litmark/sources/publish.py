@@ -22,6 +22,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in files.listStatus(target)) if files.exists(target) else []
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder, as the file system lists them."""
+    files, target = filesystem(spark, path)
+    return files.getContentSummary(target).getLength()
+
+
 def staging_folder(path: str) -> str:
     """An unused hidden folder beside ``path``, on the same file system."""
     return f"{path.rstrip('/').rpartition('/')[0]}/_staging-{uuid.uuid4().hex}"

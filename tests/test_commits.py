@@ -181,3 +181,15 @@ def test_a_raised_move_brings_the_old_folder_back(spark, tmp_path, monkeypatch):
     with pytest.raises(OSError, match="lost"):
         publish.put_in_place(spark, f"{path}-new", path)
     assert spark.read.parquet(path).count() == 3
+
+
+def test_the_inventory_reads_no_data(spark, database):
+    catalog.load_table(spark.range(1000).withColumn("ano", (F.col("id") % 3).cast("int")), f"{database}.a", ["id"], ["ano"])
+    spark.range(10).write.saveAsTable(f"{database}.b")
+    made = catalog.inventory(spark, [database])
+    found = {r["tabela"]: (r["linhas"], r["bytes_totais"] > 0, r["particionada"]) for r in made.collect()}
+    assert found["a"] == (1000, True, True) and found["b"][0] == 0 and not made.inputFiles()
+    catalog.refresh_statistics(spark, database)
+    assert {r["tabela"]: r["linhas"] for r in catalog.inventory(spark, [database]).collect()} == {"a": 1000, "b": 10}
+    stored = catalog._metadata(spark, f"{database}.a").get("statistics") or {}
+    assert "num_rows" not in stored  # the loaded table was not read for it
