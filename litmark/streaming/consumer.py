@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,40 +14,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from litmark.operators.keys import latest_per_key, unseen_keys
 from litmark.sources.lines import mark_positions, number_lines, scan_lines
-from litmark.sources.publish import child_names, put_in_place, remove_folder, staging_folder
-from litmark.streaming.events import EVENT_SCHEMA, EventRules, invalid_events, parse_events, valid_events
+from litmark.sources.publish import put_in_place, staging_folder
+from litmark.streaming.events import EventRules, invalid_events, parse_events, valid_events
+from litmark.streaming.store import BATCH, EventStore, add_batch, compact, met_buckets, possible_history, stored_events
 
-BATCH, BUCKET = "lote", "balde"
+__all__ = ["BATCH", "EventStore", "InvalidEventsError", "consume", "counters", "keep_last", "replay_all", "start_stream", "stored_events"]
 
 
 class InvalidEventsError(ValueError):
     """A batch holds invalid events and the consumer was told to stop on them."""
 
 
-@dataclass(frozen=True)
-class EventStore:
-    """Where events go: accepted rows, rejected rows, and counters, all below one folder.
-
-    Accepted rows lie in folders by a hash of their key, so a batch meets only the part of the history that can hold its keys.
-    ``buckets`` belongs to the store: it must stay the same while the store lives.
-    """
-
-    path: str
-    buckets: int = 16
-
-    @property
-    def accepted(self) -> str:
-        return f"{self.path}/eventos"
-
-    @property
-    def rejected(self) -> str:
-        return f"{self.path}/rejeitados"
-
-    @property
-    def counters(self) -> str:
-        return f"{self.path}/contadores"
-
-
 def keep_last(events: DataFrame) -> DataFrame:
     """The last event of each key, by file name and line number."""
     order = [F.col("arquivo_origem"), F.col("numero_linha_origem")]
@@ -81,22 +57,6 @@ def counters(parsed: DataFrame, unique_events: DataFrame, new_events: DataFrame)
     )
 
 
-def stored_events(
-    spark: SparkSession, store: EventStore, except_batch: str | None = None, buckets: list[int] | None = None
-) -> DataFrame | None:
-    """Accepted events of other batches, or None when there are none yet; with ``buckets``, of these buckets only.
-
-    The schema is given, so batch names stay text whatever they look like, and no footer is read for it.
-    """
-    found = [n for n in child_names(spark, store.accepted) if n.startswith(f"{BUCKET}=")]
-    wanted = found if buckets is None else [n for n in found if int(n.partition("=")[2]) in set(buckets)]
-    if not wanted:
-        return None
-    reader = spark.read.option("basePath", store.accepted).schema(f"{EVENT_SCHEMA}, {BUCKET} int, {BATCH} string")
-    stored = reader.parquet(*[f"{store.accepted}/{n}" for n in wanted]).drop(BUCKET)
-    return stored if except_batch is None else stored.where(~F.col(BATCH).eqNullSafe(except_batch))
-
-
 def consume(
     lines: DataFrame,
     store: EventStore,
@@ -110,6 +70,7 @@ def consume(
     neither loses nor repeats events.
     """
     spark = lines.sparkSession
+    last = None
     parsed = parse_events(mark_positions(lines), rules, keep_blank=True).persist()
     try:
         numbered = number_lines(parsed).where("NOT em_branco")
@@ -122,16 +83,19 @@ def consume(
             raise InvalidEventsError(f"{invalid_rows} invalid events; nothing was stored")
         if invalid_rows:
             _write_batch(invalid_events(numbered), store.rejected, batch)
-        stored = unique = 0
-        if valid_rows:
+        unique = 0
+        if not valid_rows:
+            stored = add_batch(spark, store, None, 0, batch)
+        else:
             last = keep_last(valid_events(numbered)).persist()
-            met = last.groupBy(_bucket(store).alias(BUCKET)).agg(F.count("*").alias("n")).collect()
-            unique = sum(r["n"] for r in met)
-            history = stored_events(spark, store, batch, [r[BUCKET] for r in met])
+            met, _ = met_buckets(spark, store, last)
+            unique = sum(met.values())
+            history = possible_history(spark, store, last, met, batch)
             new = last if history is None else unseen_keys(last, history, "event_id")
-            stored = _write_accepted(spark, new, store, batch)
-            last.unpersist()
+            stored = add_batch(spark, store, new, unique, batch)
     finally:
+        if last is not None:
+            last.unpersist()
         parsed.unpersist()
     totals = {
         "validos": valid_rows,
@@ -142,32 +106,10 @@ def consume(
     }
     schema = ", ".join(f"{name} long" for name in totals)
     _write_batch(spark.createDataFrame([tuple(totals.values())], schema), store.counters, batch)
+    compact(spark, store)  # last: while a batch is not counted as run, its rows must lie in a segment of its own
     return totals
 
 
-def _bucket(store: EventStore):
-    return F.pmod(F.xxhash64("event_id"), F.lit(store.buckets)).cast("int")
-
-
-def _write_accepted(spark: SparkSession, new: DataFrame, store: EventStore, batch: str) -> int:
-    """The new events of a batch in place of those an earlier try has stored; returns their number.
-
-    All are written aside first. Each bucket is then put in place by a rename, so a retry after a failure in between ends in the same state.
-    """
-    staged = staging_folder(store.accepted)
-    sent = Observation("sent")
-    rows = new.withColumn(BUCKET, _bucket(store)).hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, "event_timestamp_utc")
-    rows.observe(sent, F.count("*").alias("rows")).write.option("compression", "zstd").partitionBy(BUCKET).parquet(staged)
-    made = [n for n in child_names(spark, staged) if n.startswith(f"{BUCKET}=")]
-    for name in made:
-        put_in_place(spark, f"{staged}/{name}", f"{store.accepted}/{name}/{BATCH}={batch}")
-    for name in child_names(spark, store.accepted):
-        if name not in made and f"{BATCH}={batch}" in child_names(spark, f"{store.accepted}/{name}"):
-            remove_folder(spark, f"{store.accepted}/{name}/{BATCH}={batch}")
-    remove_folder(spark, staged)
-    return sent.get["rows"]
-
-
 def _write_batch(df: DataFrame, path: str, batch: str) -> None:
     target = f"{path}/{BATCH}={batch}"
     staged = staging_folder(target)
