@@ -40,25 +40,44 @@ def mark_positions(lines: DataFrame) -> DataFrame:
     return lines.withColumn("posicao", F.monotonically_increasing_id())
 
 
+#: Scans of up to this many tasks have the starts of their splits in an array of some 10 MB that every task gets; larger ones join them.
+LOOKED_UP_TASKS = 100_000
+
+
+def _starts(marked: DataFrame) -> DataFrame:
+    """One row per file split: its task, the position of its first line, and the lines of the file before it."""
+    splits = marked.groupBy("arquivo", "bloco").agg(F.min("posicao").alias("_first"), F.count("*").alias("_lines"))
+    before = Window.partitionBy("arquivo").orderBy("bloco").rowsBetween(Window.unboundedPreceding, -1)
+    return splits.select(
+        "arquivo", "bloco", "_first", F.coalesce(F.sum("_lines").over(before), F.lit(0)).alias("_before"), _task(F.col("_first")).alias("_task")
+    )
+
+
+def _task(position):
+    """The task that gave a position: positions count up from task number times 2 ** 33."""
+    return F.shiftrightunsigned(position, 33).cast("int")
+
+
 def number_lines(marked: DataFrame) -> DataFrame:
     """Adds ``numero_linha_origem``, the 1-based line number within the file; blank lines count.
 
-    Only per-split counts (one small row per file split) are ordered per file and joined back, so the lines of a large
-    file stay spread over the tasks that read them.
+    Only per-split counts (one small row per file split) are ordered per file. Lines are not shuffled: the starts of all splits form one
+    array with an entry per task, and a line finds its split among those of its own task. For scans of more than
+    ``LOOKED_UP_TASKS`` tasks the starts are joined instead.
     """
-    splits = marked.groupBy("arquivo", "bloco").agg(
-        F.min("posicao").alias("_first"), F.count("*").alias("_lines")
-    )
-    before = Window.partitionBy("arquivo").orderBy("bloco").rowsBetween(Window.unboundedPreceding, -1)
-    starts = splits.select(
-        "arquivo", "bloco", "_first", F.coalesce(F.sum("_lines").over(before), F.lit(0)).alias("_before")
-    )
-    number = (F.col("_before") + F.col("posicao") - F.col("_first") + 1).cast("long")
-    return (
-        marked.join(starts, ["arquivo", "bloco"])
-        .withColumn("numero_linha_origem", number)
-        .drop("_first", "_before", "posicao", "bloco")
-    )
+    starts = _starts(marked)
+    line = F.col("posicao") - F.col("_start._first") + F.col("_start._before") + 1
+    if marked.rdd.getNumPartitions() > LOOKED_UP_TASKS:
+        found = marked.join(starts.select("arquivo", "bloco", F.struct("_first", "_before").alias("_start")), ["arquivo", "bloco"])
+    else:
+        # Every task up to the last has an entry, so that the place in the array is the number of the task.
+        own = starts.groupBy("_task").agg(F.sort_array(F.collect_list(F.struct("_first", "_before"))).alias("_splits"))
+        tasks = starts.agg(F.max("_task").alias("n")).select(F.explode(F.sequence(F.lit(0), "n")).alias("_task"))
+        entries = F.sort_array(F.collect_list(F.struct("_task", "_splits")))
+        table = tasks.join(own, "_task", "left").agg(F.transform(entries, lambda x: x["_splits"]))
+        started = F.filter("_splits", lambda x: x["_first"] <= F.col("posicao"))
+        found = marked.withColumn("_splits", F.get(table.scalar(), _task(F.col("posicao")))).withColumn("_start", F.element_at(started, -1))
+    return found.withColumn("numero_linha_origem", line.cast("long")).drop("_splits", "_start", "posicao", "bloco")
 
 
 def read_numbered_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:

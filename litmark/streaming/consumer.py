@@ -8,7 +8,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,7 +18,7 @@ from litmark.sources.publish import put_in_place, staging_folder
 from litmark.streaming.events import EventRules, invalid_events, parse_events, valid_events
 from litmark.streaming.store import BATCH, EventStore, add_batch, compact, met_buckets, possible_history, stored_events
 
-__all__ = ["BATCH", "EventStore", "InvalidEventsError", "consume", "counters", "keep_last", "replay_all", "start_stream", "stored_events"]
+__all__ = ["BATCH", "EventStore", "InvalidEventsError", "consume", "counters", "keep_last", "merge_batches", "replay_all", "start_stream", "stored_events"]
 
 
 class InvalidEventsError(ValueError):
@@ -31,29 +31,41 @@ def keep_last(events: DataFrame) -> DataFrame:
     return latest_per_key(events, ["event_id"], order).select(*events.columns)
 
 
-def counters(parsed: DataFrame, unique_events: DataFrame, new_events: DataFrame) -> DataFrame:
-    """One row: valid, invalid, repeated in the batch, already stored, new."""
+def merge_batches(events: DataFrame, first: Column) -> DataFrame:
+    """What is stored of valid ``events`` after a batch of those with ``first`` and then a batch of all, in one pass.
+
+    Of a key's events in the first batch the last one stays; of a key that only the second batch holds, the last one of all.
+    """
+    rest = [c for c in events.columns if c != "event_id"]
+    order = F.struct("arquivo_origem", "numero_linha_origem")
+    row = F.struct(*rest)
+    kept = events.groupBy("event_id").agg(
+        F.coalesce(F.max_by(F.when(first, row), F.when(first, order)), F.max_by(row, order)).alias("_row")
+    )
+    return kept.select("event_id", *[F.col("_row")[c].alias(c) for c in rest]).select(*events.columns)
 
-    def part(df: DataFrame, **values) -> DataFrame:
-        names = ["validos", "invalidos", "unicos", "novos"]
-        return df.agg(*[values.get(n, F.lit(0).cast("long")).alias(n) for n in names])
 
-    parts = (
-        part(
-            parsed,
-            validos=F.count_if(F.col("regra").isNull()),
-            invalidos=F.count_if(F.col("regra").isNotNull()),
-        )
-        .unionAll(part(unique_events, unicos=F.count("*")))
-        .unionAll(part(new_events, novos=F.count("*")))
+def counters(parsed: DataFrame, stored: Column) -> DataFrame:
+    """One row: valid, invalid, repeated in the batch, already stored, new; one pass over the parsed batch.
+
+    ``stored`` tells of a row whether its key is in the history by it. Invalid events share the key NULL, of which each task sends one row.
+    """
+    valid = F.col("regra").isNull()
+    key = F.when(valid, F.col("event_id")).alias("_key")
+    keys = parsed.groupBy(key).agg(F.count("*").alias("n"), F.max(F.coalesce(valid & stored, F.lit(False))).alias("_known"))
+    known = F.col("_key").isNotNull()
+    total = keys.agg(
+        F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).alias("validos"),
+        F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("invalidos"),
+        F.count_if(known).alias("_unicos"),
+        F.count_if(known & F.col("_known")).alias("ja_processados"),
     )
-    total = parts.agg(*[F.sum(c).alias(c) for c in parts.columns])
     return total.select(
         "validos",
         "invalidos",
-        (F.col("validos") - F.col("unicos")).alias("duplicados_no_lote"),
-        (F.col("unicos") - F.col("novos")).alias("ja_processados"),
-        "novos",
+        (F.col("validos") - F.col("_unicos")).alias("duplicados_no_lote"),
+        "ja_processados",
+        (F.col("_unicos") - F.col("ja_processados")).alias("novos"),
     )
 
 

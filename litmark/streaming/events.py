@@ -209,10 +209,10 @@ def parse_events(lines: DataFrame, rules: EventRules | None = None, keep_blank:
     )
 
 
-def valid_events(parsed: DataFrame) -> DataFrame:
-    """The valid rows in the 16 event columns."""
+def valid_events(parsed: DataFrame, *more: str) -> DataFrame:
+    """The valid rows in the 16 event columns, and ``more`` columns of ``parsed``."""
     stamped = parsed.where(F.col("regra").isNull()).withColumn("processado_em_utc", F.current_timestamp())
-    return stamped.select(*EVENT_COLUMNS)
+    return stamped.select(*EVENT_COLUMNS, *more)
 
 
 def invalid_events(parsed: DataFrame) -> DataFrame:

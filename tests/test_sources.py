@@ -263,3 +263,27 @@ def test_all_layers(spark, tmp_path):
     assert failed == {("municipio", "Reconciliação Bronze x Silver"), ("alunos", "Reconciliação Bronze x Silver")}
     assert M.check_gold(spark, layers).where("status = 'REPROVADO'").count() == 0
     assert os.path.isdir(f"{layers.gold(V.GOLD_INDICATOR)}/data_processamento=2026-01-03")
+
+
+def _plan(df):
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+
+
+@pytest.mark.parametrize("tasks", [100_000, 1])
+def test_lines_are_numbered_without_a_shuffle(spark, tmp_path, monkeypatch, tasks):
+    monkeypatch.setattr(lines, "LOOKED_UP_TASKS", tasks)
+    for name, count in [("a.txt", 900), ("b.txt", 1), ("c.txt", 400), ("d.txt", 0)]:
+        (tmp_path / name).write_text("".join(f"{name} {i}{' pad' * (i % 9)}\n" for i in range(1, count + 1)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        numbered = lines.read_numbered_lines(spark, str(tmp_path))
+        found = numbered.select("arquivo_origem", F.split("value", " ")[1].cast("long").alias("n"), "numero_linha_origem").collect()
+        above = _plan(numbered).split("Subquery")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(found) == 1301 and all(r["n"] == r["numero_linha_origem"] for r in found)
+    if tasks > 1:
+        assert "Exchange" not in above and "Join" not in above

@@ -216,3 +216,18 @@ def test_one_event_key_with_a_third_of_all_rows(spark):
     last = K.keep_last(df)
     assert last.where("event_id = 'hot'").first()["numero_linha_origem"] == n - 3
     assert last.count() == n - n // 3 + 1
+
+
+def test_counters_and_merged_batches_parse_once(spark):
+    lines = [event("a", 41.0), event("a", 42.0), event("b", 43.0), "{bad", event("a", 50.0), event("c", 44.0), "{bad", event("c", 45.0)]
+    text = [(i, i < 4, x if isinstance(x, str) else json.dumps(x)) for i, x in enumerate(lines)]
+    df = spark.createDataFrame(text, "numero_linha_origem long, primeiro boolean, value string").withColumn("arquivo_origem", F.lit("f"))
+    parsed = E.parse_events(df)
+    merged = K.merge_batches(E.valid_events(parsed, "primeiro"), F.col("primeiro"))
+    assert {r["event_id"]: r["taxa_alfabetizacao_atualizada"] for r in merged.collect()} == {"a": 42.0, "b": 43.0, "c": 45.0}
+    counted = K.counters(parsed, F.col("primeiro"))
+    assert counted.first().asDict() == {"validos": 6, "invalidos": 2, "duplicados_no_lote": 3, "ja_processados": 2, "novos": 1}
+    none = K.counters(parsed.where("false"), F.col("primeiro")).first().asDict()
+    assert set(none.values()) == {0}
+    for frame in (merged, counted):
+        assert frame._jdf.queryExecution().executedPlan().toString().count("try_parse_json") <= 1

@@ -198,9 +198,8 @@ UNION ALL SELECT {STORED_SQL} FROM b WHERE event_id NOT IN (SELECT event_id FROM
 @query(MERGED_SQL)
 def event_idempotent(spark, folder):
     parsed = parsed_events(spark, folder)
-    first = K.keep_last(E.valid_events(parsed.where(F.col("grupo").isin(FIRST_GROUPS))))
-    second = K.keep_last(E.valid_events(parsed))
-    return _comparable(first.unionByName(K.unseen_keys(second, first, "event_id")))
+    events = E.valid_events(parsed, "grupo")
+    return _comparable(K.merge_batches(events, F.col("grupo").isin(FIRST_GROUPS)))
 
 
 @query(
@@ -211,10 +210,7 @@ def event_idempotent(spark, folder):
       unicos - (SELECT count(*) FROM a) AS novos FROM t"""
 )
 def event_counters(spark, folder):
-    parsed = parsed_events(spark, folder)
-    history = E.valid_events(parsed.where(F.col("grupo").isin(FIRST_GROUPS)))
-    last = K.keep_last(E.valid_events(parsed))
-    return K.counters(parsed, last, K.unseen_keys(last, history, "event_id"))
+    return K.counters(parsed_events(spark, folder), F.col("grupo").isin(FIRST_GROUPS))
 
 
 def _write_lines(lines, path):
