@@ -154,7 +154,7 @@ def load_json_files(
     if not has_files(spark, source, glob):
         return False
     loaded = load_table(read_strict_json(spark, source, schema, glob), table, description=description, labels=labels)
-    lines = count_json_rows(spark, source, glob).agg(F.coalesce(F.sum("registros"), F.lit(0))).first()[0]
+    lines = count_json_rows(spark, source, glob=glob).agg(F.coalesce(F.sum("registros"), F.lit(0))).first()[0]
     reconcile(table, lines, loaded)
     return True
 

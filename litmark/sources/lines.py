@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -166,37 +170,64 @@ def job_history(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def count_parquet_rows(spark: SparkSession, path: str, tolerant: bool = False) -> DataFrame:
+def count_parquet_rows(spark: SparkSession, *paths: str) -> DataFrame:
     """``(arquivo, registros)`` of Parquet files. No column is read, so the counts come from the footers."""
-    return _rows_per_file(_reader(spark, "*.parquet", tolerant).schema("_none int").parquet(path))
+    return _rows_per_file(_reader(spark, "*.parquet").schema("_none int").parquet(*paths))
 
 
-def count_json_rows(spark: SparkSession, path: str, glob: str = "*.json*", tolerant: bool = False) -> DataFrame:
+def count_json_rows(spark: SparkSession, *paths: str, glob: str = "*.json*") -> DataFrame:
     """``(arquivo, registros)`` of line files; blank lines do not count."""
-    return _rows_per_file(_reader(spark, glob, tolerant).text(path).where(strip(F.col("value")) != ""))
+    return _rows_per_file(_reader(spark, glob).text(list(paths)).where(strip(F.col("value")) != ""))
 
 
-def count_csv_rows(spark: SparkSession, path: str, tolerant: bool = False) -> DataFrame:
+def count_csv_rows(spark: SparkSession, *paths: str) -> DataFrame:
     """``(arquivo, registros)`` of CSV files with a header line."""
-    counted = _rows_per_file(_reader(spark, "*.csv", tolerant).text(path))
+    counted = _rows_per_file(_reader(spark, "*.csv").text(list(paths)))
     return counted.withColumn("registros", F.greatest(F.lit(0), F.col("registros") - 1))
 
 
-def count_rows_by_file(spark: SparkSession, path: str) -> DataFrame:
-    """``(arquivo, registros)`` over all known file types below ``path``; unreadable files are passed over.
+def _count_readable_json(spark: SparkSession, *paths: str) -> DataFrame:
+    """As ``count_json_rows``; a file with bytes that are not UTF-8 counts as broken: 0."""
+    text = _reader(spark, "*.json*").text(list(paths)).groupBy(F.col("_metadata.file_path").alias("arquivo"))
+    whole = F.bool_and(F.is_valid_utf8("value"))
+    return text.agg(F.when(whole, F.count_if(strip(F.col("value")) != "")).otherwise(0).alias("registros"))
 
-    This is the tolerant count for metrics; the counts above fail on a broken file, as loads must.
-    """
-    return (
-        count_parquet_rows(spark, path, tolerant=True)
-        .unionByName(count_json_rows(spark, path, tolerant=True))
-        .unionByName(count_csv_rows(spark, path, tolerant=True))
-    )
 
+def count_rows_by_file(spark: SparkSession, path: str) -> DataFrame:
+    """``(arquivo, registros)`` over all known file types below ``path``; a broken file counts 0, all others in full.
 
-def _reader(spark: SparkSession, glob: str, tolerant: bool):
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-    return reader.option("ignoreCorruptFiles", True) if tolerant else reader
+    This is the tolerant count for metrics; the counts above fail on a broken file, as loads must. Broken files are found by halving
+    the set of files that failed, so a few of them cost a few further passes over ever smaller sets.
+    """
+    kinds = {"*.parquet": count_parquet_rows, "*.json*": _count_readable_json, "*.csv": count_csv_rows}
+    return reduce(DataFrame.unionByName, [_isolated(spark, path, glob, count) for glob, count in kinds.items()])
+
+
+def _isolated(spark: SparkSession, path: str, glob: str, count: Callable[..., DataFrame]) -> DataFrame:
+    """The counts of all files that can be read, and 0 for each of the others."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+    files = [r["path"] for r in listing.load(path).select("path").collect()]
+    good, broken, open_sets = [], [], [files] if files else []
+    while open_sets:
+        some = open_sets.pop()
+        try:
+            count(spark, *map(_literal, some)).agg(F.sum("registros")).first()
+            good += some
+        except Exception:
+            half = len(some) // 2
+            broken += some if not half else []
+            open_sets += [some[:half], some[half:]] if half else []
+    lost = spark.createDataFrame([(f, 0) for f in broken], "arquivo string, registros long")
+    return count(spark, *map(_literal, good)).unionByName(lost) if good else lost
+
+
+def _literal(path: str) -> str:
+    """A path whose special characters stand for themselves where patterns are read."""
+    return re.sub(r"([*?{}\[\]\\,])", r"\\\1", path)
+
+
+def _reader(spark: SparkSession, glob: str):
+    return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
 
 
 def _rows_per_file(df: DataFrame) -> DataFrame:

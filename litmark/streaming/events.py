@@ -11,7 +11,7 @@ from litmark import fixed_values as V
 from litmark.functions.numbers import clamp, differs, round2
 from litmark.functions.text import strip
 from litmark.functions.times import iso_timestamp
-from litmark.operators.cleaning import drop_incomplete
+from litmark.operators.cleaning import drop_incomplete, require_rows
 
 BASE_COLUMNS = ["ano", "id_municipio", "id_uf", "codigo_rede", "rede", "taxa_alfabetizacao"]
 BASE_REQUIRED = ["ano", "id_municipio", "codigo_rede", "taxa_alfabetizacao"]
@@ -64,8 +64,8 @@ class EventRules:
 
 
 def event_base(indicators: DataFrame) -> DataFrame:
-    """The indicator columns an event needs, rows with all required values."""
-    return drop_incomplete(indicators.select(*BASE_COLUMNS), BASE_REQUIRED)
+    """The indicator columns an event needs, rows with all required values; an error if there is no such row."""
+    return require_rows(drop_incomplete(indicators.select(*BASE_COLUMNS), BASE_REQUIRED), "the base of events")
 
 
 def encode_events(

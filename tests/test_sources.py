@@ -287,3 +287,23 @@ def test_lines_are_numbered_without_a_shuffle(spark, tmp_path, monkeypatch, task
     assert len(found) == 1301 and all(r["n"] == r["numero_linha_origem"] for r in found)
     if tasks > 1:
         assert "Exchange" not in above and "Join" not in above
+
+
+def test_a_broken_file_counts_nothing_and_the_others_in_full(spark, tmp_path):
+    import gzip
+
+    for k in range(5):
+        (tmp_path / f"ok{k}.jsonl").write_text('{"a":1}\n' * (k + 1))
+        spark.range(k + 1).coalesce(1).write.parquet(str(tmp_path / f"p{k}"))
+    packed = gzip.compress(b'{"a":1}\n' * 200_000)
+    (tmp_path / "cut.jsonl.gz").write_bytes(packed[: len(packed) // 2])
+    (tmp_path / "whole [1].json.gz").write_bytes(gzip.compress(b'{"a":1}\n' * 7))
+    (tmp_path / "latin.jsonl").write_bytes(b'{"a":1}\n{"a":"\xe9"}\n')
+    (tmp_path / "broken.parquet").write_text("this is not parquet")
+    (tmp_path / "r.csv").write_bytes(b"h\n\xe9\n2\n")
+    found = {r["arquivo"].rpartition("/")[2]: r["registros"] for r in lines.count_rows_by_file(spark, str(tmp_path)).collect()}
+    assert {k: v for k, v in found.items() if k.startswith("ok")} == {f"ok{k}.jsonl": k + 1 for k in range(5)}
+    assert found["cut.jsonl.gz"] == found["latin.jsonl"] == found["broken.parquet"] == 0
+    assert [v for k, v in found.items() if k.startswith("whole")] == [7] and found["r.csv"] == 2
+    assert sum(v for k, v in found.items() if k.startswith("part-")) == 15
+    assert lines.count_rows_by_file(spark, str(tmp_path / "p0")).count() == 1

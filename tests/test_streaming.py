@@ -231,3 +231,9 @@ def test_counters_and_merged_batches_parse_once(spark):
     assert set(none.values()) == {0}
     for frame in (merged, counted):
         assert frame._jdf.queryExecution().executedPlan().toString().count("try_parse_json") <= 1
+
+
+def test_a_base_without_valid_rows_is_an_error(spark):
+    schema = "ano int, id_municipio string, id_uf string, codigo_rede int, rede string, taxa_alfabetizacao double"
+    with pytest.raises(ValueError, match="no valid rows"):
+        E.event_base(spark.createDataFrame([(2023, "x", "y", 1, "z", None)], schema))

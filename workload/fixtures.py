@@ -82,6 +82,10 @@ SELECT CASE WHEN o_orderpriority = '5-LOW' THEN '28' ELSE '21' END || lpad(CAST(
 FROM {orders}
 """
 
+# Targets of states and of the country, with repeated rows.
+PLANNED_STATES = "SELECT s_nationkey AS uf, 2020 + s_suppkey % 3 AS ano, s_suppkey % 5 AS rede FROM {supplier}"
+PLANNED_COUNTRY = "SELECT 2020 + n_regionkey AS ano, n_nationkey % 3 AS rede, 50 + n_regionkey AS meta FROM {nation}"
+
 # Change events before encoding; every kind of broken event occurs.
 EVENTS = """
 SELECT event_id AS linha,

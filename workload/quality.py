@@ -48,6 +48,8 @@ def _silver_sql() -> str:
         ("municipio", plain(X.PUBLISHED), f"SELECT DISTINCT * FROM ({plain(X.PUBLISHED)})"),
         ("meta_alfabetizacao_municipio", plain(X.PLANNED), f"SELECT DISTINCT * FROM ({plain(X.PLANNED)})"),
         ("uf", "SELECT text, lang, source, n_chars FROM documents", "SELECT DISTINCT text, lang, source, n_chars FROM documents"),
+        ("meta_alfabetizacao_uf", plain(X.PLANNED_STATES), f"SELECT DISTINCT * FROM ({plain(X.PLANNED_STATES)})"),
+        ("meta_alfabetizacao_brasil", plain(X.PLANNED_COUNTRY), f"SELECT DISTINCT * FROM ({plain(X.PLANNED_COUNTRY)})"),
     ]
     order = 0
     for name, bronze, silver in counted:
@@ -137,6 +139,8 @@ def silver_frame(spark, folder):
         "municipio": view(spark, folder, X.PUBLISHED),
         "meta_alfabetizacao_municipio": view(spark, folder, X.PLANNED),
         "uf": table(spark, folder, "documents").drop("doc_id"),
+        "meta_alfabetizacao_uf": view(spark, folder, X.PLANNED_STATES),
+        "meta_alfabetizacao_brasil": view(spark, folder, X.PLANNED_COUNTRY),
         "alunos": raw,
     }
     silver = {n: C.drop_exact_duplicates(df) for n, df in bronze.items()} | {"alunos": C.clean_students(raw)}

@@ -264,3 +264,19 @@ def table_notes(spark, folder):
         comment = spark.catalog.getTable(f"{database}.{name}").description
         noted.append((name, comment, properties["camada"], properties["ambiente"], spark.table(f"{database}.{name}").count()))
     return spark.createDataFrame(noted, "tabela string, comentario string, camada string, ambiente string, linhas long")
+
+
+@query(
+    f"""SELECT 'indicador' AS tabela, 'MANAGED' AS tipo, CAST((SELECT count(*) FROM ({INDICATOR_SQL})) AS VARCHAR) AS linhas,
+    'false' AS particionada, 'id_uf, codigo_rede' AS clusterizacao, '60.0' AS expiracao_padrao_dataset_dias, TRUE AS tem_bytes
+    UNION ALL SELECT 'pedidos', 'MANAGED', CAST((SELECT count(*) FROM orders) AS VARCHAR), 'false', 'Não', '60.0', TRUE"""
+)
+def inventory_report(spark, folder):
+    """The inventory of a loaded database, written as a report and read back as text."""
+    path = scratch_folder(spark, "inventario")
+    sinks.write_csv_report(catalog.inventory(spark, [_load(spark, folder)]), path)
+    report = spark.read.option("header", True).csv(path)
+    return report.select(
+        "tabela", "tipo", "linhas", "particionada", "clusterizacao", "expiracao_padrao_dataset_dias",
+        (F.col("bytes_totais").cast("long") > 0).alias("tem_bytes"),
+    )
