@@ -43,7 +43,7 @@ def numbered(docs: DataFrame, *columns: str) -> DataFrame:
 def keep_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose number by ``numbered`` is in ``rows``."""
     pin_splits(docs.sparkSession)
-    whole = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
+    whole = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]).alias("doc"))
     return whole.join(rows.select("row"), "row", "left_semi").select("doc.*")
 
 

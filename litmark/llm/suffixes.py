@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from litmark.llm.common import flat, numbered, saved, whole_groups
 
 LEAST, GRAM = 200, 64
-# Bytes hashed at a time, bytes sorted at a time, and distinct spans of one hash in a shard. They bound memory and change no result.
-STRETCH, SHARD, SPANS = 1 << 18, 1 << 21, 256
+# Bytes hashed at a time, bytes sorted at a time, and what a shard of one hash holds: distinct spans, and bytes of them (a span has
+# less than a stretch and a window). They bound memory, at some 120 bytes for every byte sorted, and change no result.
+STRETCH, SHARD, SPANS, SPAN_BYTES = 1 << 18, 1 << 21, 256, 1 << 19
 _TABLE = np.random.default_rng(77).integers(0, 2**64, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -319,6 +320,13 @@ def _copies(meta: DataFrame) -> DataFrame:
     return meta.groupBy("sha").agg(F.count("*").alias("rows"), F.min("row").alias("first")).where("rows > 1").select("sha", "first")
 
 
+def _dealt(contents: DataFrame) -> DataFrame:
+    """Distinct spans with their number by hash, the number of shards of the hash by spans and by bytes, and the shard each goes to."""
+    sizes = contents.groupBy("hash").agg(F.count("*").alias("distinct"), F.sum(F.length("content")).alias("bytes"))
+    shards = F.greatest(F.ceil(F.col("distinct") / SPANS), F.ceil(F.col("bytes") / SPAN_BYTES))
+    return contents.join(sizes, "hash").withColumn("shards", shards).withColumn("shard", F.pmod(F.xxhash64("digest"), "shards"))
+
+
 def _repeats(docs: DataFrame, meta: DataFrame) -> DataFrame:
     texts = numbered(docs, "text")
     found = saved(texts.mapInArrow(_span_rows, "row long, start int, count int, hash long, inner boolean"), "spans")
@@ -340,13 +348,11 @@ def _repeats(docs: DataFrame, meta: DataFrame) -> DataFrame:
         ),
         "contents",
     )
-    shards = contents.groupBy("hash").agg(F.count("*").alias("distinct"))
-    dealt = contents.join(shards, "hash").withColumn("shards", F.ceil(F.col("distinct") / SPANS))
+    dealt = _dealt(contents)
     alone = dealt.where("distinct = 1 AND NOT inner")
     whole = alone.where("times > 1").select("digest", F.lit(0).alias("a"), (F.length("content") - LEAST + 1).alias("b"))
     together = (
         dealt.where("distinct > 1 OR inner")
-        .withColumn("shard", F.pmod(F.xxhash64("digest"), "shards"))
         .select("hash", "shard", "shards", "times", "digest", "content")
         .repartition("hash", "shard")
         .sortWithinPartitions("hash", "shard")

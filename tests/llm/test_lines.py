@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from litmark.llm import lines
@@ -33,3 +34,13 @@ def test_lines(table, rows):
     repeated = {3} if len(rows) > len(ROWS) else set()
     assert [r for r in found if r[0] not in repeated] == sorted((r for r in wanted if r[0] not in repeated), key=str)
     assert len(found) == len(wanted)
+
+
+def test_long_texts_take_linear_time(table):
+    own = [f"line {i} {i * 7919 % 1009}" for i in range(500_000)]
+    text = "\n".join(own)
+    docs = table([(1, text), (2, text + "\nmore"), (3, "\n".join(own[:3]) + "\nkept")])
+    start = time.perf_counter()
+    found = {r.doc_id: tuple(r)[1:4] for r in lines.dedup_lines(docs).collect()}
+    assert time.perf_counter() - start < 90
+    assert found == {1: (500_000, 0, text), 2: (500_001, 500_000, "more"), 3: (4, 3, "kept")}

@@ -77,3 +77,13 @@ def test_every_window_is_in_one_span():
     covered = np.concatenate([np.arange(s, s + c) for s, c in zip(start, count, strict=True)])
     wanted = [i for a, b in zip(at[:-1], at[1:], strict=True) for i in range(a, b - 199)]
     assert covered.tolist() == wanted
+
+
+def test_long_runs_of_many_lengths_are_dealt_by_bytes(spark, table):
+    docs = table([(i, "z" * (230_000 + 400 * i)) for i in range(60)] + [(99, "y" * 150)])
+    found = {r.doc_id: tuple(r)[1:4] for r in suffixes.remove_repeats(docs).collect()}
+    assert found == {i: (230_000 + 400 * i,) * 2 + (1,) for i in range(60)} | {99: (150, 0, 0)}
+    contents = spark.range(60).selectExpr("1L AS hash", "xxhash64(id) AS digest", "repeat('z', 230000) AS content", "true AS inner")
+    most = suffixes._dealt(contents).groupBy("shard").sum("distinct").count()
+    largest = max(r["b"] for r in suffixes._dealt(contents).selectExpr("shard", "length(content) AS n").groupBy("shard").agg({"n": "sum"}).toDF("shard", "b").collect())
+    assert most > 10 and largest <= 4 * suffixes.SPAN_BYTES
