@@ -1,4 +1,6 @@
+import hashlib
 import re
+import time
 
 import pytest
 from litmark.llm import secrets
@@ -59,3 +61,50 @@ def test_held_out_findings(spark):
     found = {(r.doc_id, r.finding): r.secret for r in scanner.scan(rest).collect()}
     assert found.keys() == truth.keys() and sum(truth.values()) > 50
     assert sum(found[k] == v for k, v in truth.items()) / len(truth) > 0.99
+
+
+def test_values_of_assignments_of_any_length(table):
+    rows = [
+        (1, 'password = "hunter2!x" and secret: \'a b c d\' then token: none, api_key=ab12$9.z; pwd = "short" pwd = "' + KEY + '"'),
+        (2, "the secret: everything is plain; auth => x9!x9!x9!"),
+        (3, "PASSWORD = 'twice over' password = 'twice over'"),
+    ]
+    found = {(r.doc_id, r.finding): r for r in secrets.findings(table(rows, CLASHING)).collect()}
+    assert set(found) == {(1, "hunter2!x"), (1, "a b c d"), (1, "ab12$9.z"), (1, KEY), (2, "x9!x9!x9!"), (3, "twice over")}
+    for (doc, finding), r in found.items():
+        text = rows[doc - 1][1]
+        assert text[r.start :].startswith(finding) and r.times == text.count(finding)
+        assert r.before == text[max(0, r.start - 40) : r.start] and r.after == text[r.start + len(finding) :][:40]
+
+
+def test_keys_without_a_name_are_found_in_prose(spark, table):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    scanner = secrets.learn(docs)
+    keys = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(200)]
+    bare = [(i, f"some words and {k} then more words of prose") for i, k in enumerate(keys)] + [(1000 + i, f"ordinary averyveryveryordinary{w}word here") for i, w in enumerate(["long", "plain", "simple"])]
+    found = {r.finding: r.secret for r in scanner.scan(table(bare)).collect()}
+    assert sum(found[k] for k in keys) >= 0.95 * len(keys)
+    assert not any(v for f, v in found.items() if f.startswith("avery"))
+
+
+def test_labels_leave_unnamed_keys_out_and_hide_every_second_name(table):
+    keys = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(60)]
+    rows = [(i, f'x token = "{k}" y') for i, k in enumerate(keys)] + [(100, f"bare {KEY} key"), (101, "averyverylongordinaryword")]
+    made = secrets.weakly_labelled(secrets.findings(table(rows))).collect()
+    assert KEY not in {r.finding for r in made} and {r.label for r in made if r.finding.startswith("avery")} == {0.0}
+    named = [r for r in made if r.label == 1 and "token" in r.before]
+    assert 0.2 < len(named) / len(keys) < 0.8 and all(r.before == "x " for r in made if r.label == 1 and "token" not in r.before)
+
+
+def test_many_keys_in_one_text_take_linear_time(spark, table):
+    text = " ".join(f"{i:032x}" for i in range(40_000))
+    docs = table([(1, text), (2, text)])
+    secrets.findings(docs).count()
+    start = time.perf_counter()
+    found = secrets.findings(docs).agg({"start": "max", "times": "sum"}).first()
+    assert time.perf_counter() - start < 30 and tuple(found) == (33 * 39_999, 80_000)
+
+
+def test_dictionary_counts_all_texts_in_all_letters(table):
+    rows = [(i, "größer größer même") for i in range(3_000)] + [(9_999, "last " * 20_000)]
+    assert set(secrets.dictionary(table(rows))) == {"größer", "même", "last"}
