@@ -5,7 +5,8 @@ of (step, word); edits become mismatches of the written sequences. One walk from
 sizes, as an item of n words is compared on its first ``STEPS_PER_WORD`` * n steps. Windows of an item begin at several of its
 words. ``REPEATS`` samples of ``SAMPLED`` steps for each size class are looked up in tables of the items' keys. What meets is
 compared with the whole item by edit distance, so a reported hit is always within ``MOST_EDITS`` of the item's words. Verbatim
-copies are always found; at the threshold of two edits in ten words the tests ask for a recall of 0.9.
+copies are always found; at the threshold of two edits in ten words the tests ask for a recall of 0.9. Items of fewer than
+``LEAST_WORDS`` words allow no edit and are looked up whole. In scripts without spaces every character is a word.
 
 Items are a stated query set: they are taken in blocks of ``BLOCK_ITEMS``, and a block is what the tasks get.
 """
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from litmark.llm.common import flat
 
 MOST_EDITS = 0.2
-# Items of fewer words are not looked for: ordinary prose holds them.
+# Items of fewer words allow no edit; they are looked up whole, by the hash of all their words.
 LEAST_WORDS = 5
 # Longer items are looked for in parts of this many words; the check is on the whole item.
 PART = 64
@@ -40,14 +41,38 @@ _LOWER[65:91] += 32
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
+# Code points of scripts written without spaces (Thai and Lao, Myanmar, Khmer, kana, Han with its extensions).
+_UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0x20000, 0x3FFFF))
+
+
+def _unspaced(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where characters of scripts without spaces begin and end."""
+    lead = np.flatnonzero(data >= 0xE0)
+    if not len(lead):
+        return lead, lead
+    size = np.where(data[lead] >= 0xF0, 4, 3)
+    point = np.where(size == 3, data[lead] & 15, data[lead] & 7).astype(np.int64)
+    for k in (1, 2, 3):
+        follow = data[np.minimum(lead + k, len(data) - 1)].astype(np.int64) & 63
+        point = np.where(k < size, point << 6 | follow, point)
+    own = np.zeros(len(lead), bool)
+    for low, high in _UNSPACED:
+        own |= (low <= point) & (point <= high)
+    return lead[own], (lead + size)[own]
+
+
 def word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of every word (runs of ASCII letters and digits and of other than ASCII bytes, A-Z lowered), and the
-    places in that list where each text begins and ends."""
+    """A 64-bit hash of every word (runs of ASCII letters and digits and of other than ASCII bytes, A-Z lowered; single characters of
+    scripts without spaces), and the places in that list where each text begins and ends."""
     inside = _WORD[data]
     begin = inside.copy()
     begin[1:] &= ~inside[:-1]
     firsts = at[:-1][at[:-1] < at[1:]]
     begin[firsts] = inside[firsts]
+    single, behind = _unspaced(data)
+    begin[single] = True
+    behind = behind[behind < len(data)]
+    begin[behind] |= inside[behind]
     starts = np.flatnonzero(begin)
     bounds = np.searchsorted(starts, at)
     if not len(starts):
@@ -90,7 +115,10 @@ def edits(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
 
 @dataclass(frozen=True)
 class Index:
-    """Items as hashed words, and for each walk, size class and repeat the sorted keys of the parts and a bitmap of them."""
+    """Items as hashed words, and for each walk, size class and repeat the sorted keys of the parts and a bitmap of them.
+
+    ``short`` has the items below ``LEAST_WORDS`` by their number of words: sorted keys of all their words, and the items.
+    """
 
     ids: list
     items: list
@@ -98,6 +126,13 @@ class Index:
     parts: list[tuple[int, int]]
     classes: list
     steps: int
+    short: dict[int, tuple[np.ndarray, np.ndarray]]
+
+
+def _whole_keys(words: np.ndarray, n: int) -> np.ndarray:
+    """A key of every ``n`` neighbouring words."""
+    with np.errstate(over="ignore"):
+        return sum((words[k : len(words) - n + 1 + k] * (_FACTOR + np.uint64(2 * k)) for k in range(n)), np.zeros(max(len(words) - n + 1, 0), np.uint64))
 
 
 def _class(n: int) -> int:
@@ -128,12 +163,18 @@ def _walk(words: np.ndarray, count: int, walk: int, steps: int):
 
 
 def build(ids: list, texts: list[str | None]) -> Index:
-    """Search tables of the items; null, empty and too short items are in none."""
+    """Search tables of the items; items without words are in none."""
     items, kept, parts = [], [], []
+    whole: dict[int, list[tuple[int, int]]] = {}
     for own, text in zip(ids, texts, strict=True):
         raw = (text or "").encode()
         words, _ = word_hashes(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        if not len(words):
+            continue
         if len(words) < LEAST_WORDS:
+            whole.setdefault(len(words), []).append((int(_whole_keys(words, len(words))[0]), len(items)))
+            items.append(words)
+            kept.append(own)
             continue
         pieces = -(-len(words) // PART)
         for k in range(pieces):
@@ -165,7 +206,27 @@ def build(ids: list, texts: list[str | None]) -> Index:
                 bitmap = np.zeros(1 << 16, bool)
                 bitmap[keys >> np.uint32(16)] = True
                 classes.append((walk, dict(zip(chosen.tolist(), factors, strict=True)), keys[order], np.array(own)[order], bitmap))
-    return Index(kept, items, [set(w.tolist()) for w in items], [(i, a) for i, a, _ in parts], classes, steps)
+    short = {n: (np.array([k for k, _ in sorted(own)], np.uint64), np.array([i for _, i in sorted(own)])) for n, own in whole.items()}
+    return Index(kept, items, [set(w.tolist()) for w in items], [(i, a) for i, a, _ in parts], classes, steps, short)
+
+
+def short_hits(index: Index, words: np.ndarray, bounds: np.ndarray) -> dict[tuple[int, int], int]:
+    """First place of every short item in every text that holds it, by (text, item)."""
+    found: dict[tuple[int, int], int] = {}
+    for n, (keys, own) in index.short.items():
+        made = _whole_keys(words, n)
+        places = np.flatnonzero(np.isin(made, keys))
+        text = np.searchsorted(bounds, places, "right") - 1
+        inside = places + n <= bounds[text + 1]
+        places, text = places[inside], text[inside]
+        # Of equal keys in one text only the first place is looked at.
+        _, first = np.unique(np.column_stack([text.astype(np.uint64), made[places]]), axis=0, return_index=True)
+        for k in first.tolist():
+            place = int(places[k])
+            for item in own[np.searchsorted(keys, made[place], "left") : np.searchsorted(keys, made[place], "right")].tolist():
+                if (index.items[item] == words[place : place + n]).all():
+                    found[int(text[k]), item] = place
+    return found
 
 
 def candidates(index: Index, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -203,10 +264,12 @@ def hits(index: Index, texts: pa.Array) -> list[list[dict]]:
     data, at = flat(texts)
     out: list[list[dict]] = [[] for _ in range(len(at) - 1)]
     low = 0
-    while low < len(out) and index.parts:
+    while low < len(out) and index.items:
         high = max(low + 1, int(np.searchsorted(at, at[low] + STRETCH, "right")) - 1)
         words, bounds = word_hashes(data[at[low] : at[high]], at[low : high + 1] - at[low])
-        best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        best: dict[tuple[int, int], tuple[int, int, int]] = {
+            (doc, own): (0, place - int(bounds[doc]), len(index.items[own])) for (doc, own), place in short_hits(index, words, bounds).items()
+        }
         done: dict[tuple[int, int], tuple[int, int]] = {}
         for place, part in zip(*(x.tolist() for x in candidates(index, words)), strict=True):
             own, offset = index.parts[part]

@@ -91,3 +91,17 @@ def test_blocks_and_empty_tables(spark, table, monkeypatch):
     assert sum(len(r.leaks) for r in leaks.with_leaks(docs, benchmark).collect()) == 5
     assert leaks.drop_leaks(docs, benchmark.limit(0)).count() == len(ROWS)
     assert leaks.drop_leaks(table([]), benchmark).count() == 0
+
+
+def test_short_items_and_scripts_without_spaces():
+    given = ["Three little words", "solo", "北京是中华人民共和国的首都和直辖市", "ภาษาไทยไม่มีช่องว่างระหว่างคำ", "four words of it", "日本"]
+    index = leaks.build(list(range(6)), given)
+    texts = [
+        "some three  little\nWORDS, and more", "three little", "words three little", "a solo run", "soloist", "我们知道北京是中华人民共和国的首都和直辖市。", "他说北京是中国的首都",
+        "และภาษาไทยไม่มีช่องว่างระหว่างคำครับ", "", "four words", "of it", "in 日本語", "北京是中华人民共和国首都和直辖市吗", "solo solo three little words solo",
+    ]
+    found = [[h["item"] for h in f] for f in leaks.hits(index, pa.array(texts))]
+    assert found == [[0], [], [], [1], [], [2], [], [3], [], [], [], [5], [2], [0, 1]]
+    start = leaks.hits(index, pa.array([texts[0], texts[11]]))
+    assert (start[0][0]["start"], start[0][0]["words"], start[0][0]["edits"], start[1][0]["start"]) == (1, 3, 0, 1)
+    assert leaks.hits(leaks.build([1], ["solo"]), pa.array(["a solo", None])) == [[{"item": 0, "start": 1, "words": 1, "edits": 0}], []]
