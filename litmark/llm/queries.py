@@ -84,8 +84,9 @@ def op3_packing(spark, folder):
 
 @query()
 def op10_tokens(spark, folder):
-    counts = token_counts(spark, F.col("text")).alias("counts")
-    return documents(spark, folder).select("doc_id", counts).select(
+    docs = documents(spark, folder)
+    counts = token_counts(spark, F.col("text"), docs=docs).alias("counts")
+    return docs.select("doc_id", counts).select(
         "doc_id", "counts.n_bytes", "counts.n_tokens", (F.col("counts.n_tokens") > 512).alias("over_limit")
     )
 
