@@ -99,13 +99,14 @@ def exact_groups(docs: DataFrame, primes=PRIMES, bases=BASES) -> DataFrame:
     """
     prints = saved(fingerprints(docs, primes, bases), "fingerprints")
     key = ["a", "b", "n"]
-    groups = prints.groupBy(key).agg(F.count("*").alias("size")).where("size > 1").drop("size")
+    # Groups are written before they are joined: such a join has no aggregation in its stage, so a large group can be split over tasks.
+    groups = saved(prints.groupBy(key).agg(F.count("*").alias("size")).where("size > 1").drop("size"), "groups")
     open_rows = prints.join(groups, key).select("row", "doc_id", F.concat_ws("-", *key).alias("group"))
     texts = numbered(docs, "text").join(open_rows.select("row"), "row")
     pieces = saved(texts.mapInArrow(_pieces, "row long, part int, piece binary"), "chunks")
     settled = None
     while True:
-        low = open_rows.groupBy("group").agg(F.min(F.struct("doc_id", "row")).alias("low"))
+        low = saved(open_rows.groupBy("group").agg(F.min(F.struct("doc_id", "row")).alias("low")), "lowest")
         paired = open_rows.join(low, "group").select(
             "row", "doc_id", "group", F.col("low.row").alias("keep"), F.col("low.doc_id").alias("keep_id")
         )
@@ -126,7 +127,7 @@ def exact_groups(docs: DataFrame, primes=PRIMES, bases=BASES) -> DataFrame:
         open_rows = compared.where("NOT same").select("row", "doc_id", "group")
         if open_rows.isEmpty():
             break
-    sizes = settled.groupBy("keep").agg(F.count("*").alias("size"))
+    sizes = saved(settled.groupBy("keep").agg(F.count("*").alias("size")), "sizes")
     found = settled.join(sizes, "keep").select("row", "keep", "keep_id", "size")
     alone = F.col("keep").isNull()
     return prints.join(found, "row", "left").select(

@@ -147,8 +147,9 @@ def near_duplicates(docs: DataFrame, **options) -> DataFrame:
     prints = saved(source.mapInArrow(_prints, f"row long, doc_id {kind}, print long"), "prints")
     distinct = saved(prints.groupBy("print").agg(F.min(F.struct("doc_id", "row")).alias("low")), "distinct")
     found = components(links(distinct.select("print"), **options)).withColumnRenamed("node", "print")
-    rooted = distinct.join(found, "print", "left").withColumn("root", F.coalesce("root", "print"))
-    lowest = rooted.groupBy("root").agg(F.min("low").alias("lowest"))
+    rooted = saved(distinct.join(found, "print", "left").withColumn("root", F.coalesce("root", "print")), "rooted")
+    # Written before it is joined: a join with a table has no aggregation in its stage, so a large component can be split over tasks.
+    lowest = saved(rooted.groupBy("root").agg(F.min("low").alias("lowest")), "lowest")
     named = rooted.join(lowest, "root").select("print", "lowest")
     return prints.join(named, "print").select(
         "doc_id",

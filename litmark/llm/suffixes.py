@@ -360,7 +360,8 @@ def _repeats(docs: DataFrame, meta: DataFrame) -> DataFrame:
     sorted_ = saved(together.mapInArrow(_shard_rows, _SHARD_SHAPE), "shards")
     merged = sorted_.where("bucket IS NOT NULL").groupBy("hash", "bucket").applyInArrow(_merge, "digest binary, a int, b int")
     marks = whole.union(sorted_.where("digest IS NOT NULL").select("digest", "a", "b")).union(merged)
-    marked = marks.groupBy("digest").agg(F.collect_list(F.struct("a", "b")).alias("marks"))
+    # Written before it is joined, so that the rows of a span that many documents hold can be split over tasks.
+    marked = saved(marks.groupBy("digest").agg(F.collect_list(F.struct("a", "b")).alias("marks")), "marked")
     stretch = F.struct((F.col("start") + F.col("m.a")).alias("from"), (F.col("start") + F.col("m.b") + LEAST - 1).alias("to"))
     return (
         members.select("row", "start", "digest")
