@@ -33,7 +33,7 @@ STEPS_PER_WORD = 1
 STARTS = (0, 1 / 6, 1 / 3, 1 / 2)
 SAMPLED, REPEATS, WALKS = 3, 8, 1
 BLOCK_ITEMS = 5_000
-STRETCH = 1 << 16
+STRETCH = 1 << 18
 _GROWTH = 1.7
 _WORD = np.isin(np.arange(256), list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789" + bytes(range(128, 256))))
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -237,12 +237,14 @@ def candidates(index: Index, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]
         tables = [t for t in index.classes if t[0] == walk]
         made = [np.zeros(len(words), np.uint32) for _ in tables]
         part = np.empty(len(words), np.uint32)
+        sampled: dict[int, list] = {}
+        for table, key in zip(tables, made, strict=True):
+            for step, factor in table[1].items():
+                sampled.setdefault(step, []).append((key, factor))
         for step, here in enumerate(_walk(padded, len(words), walk, index.steps)):
-            for table, key in zip(tables, made, strict=True):
-                factor = table[1].get(step)
-                if factor is not None:
-                    np.multiply(here, factor, out=part)
-                    key += part
+            for key, factor in sampled.get(step, ()):
+                np.multiply(here, factor, out=part)
+                np.add(key, part, out=key)
         for (_, _, keys, own, bitmap), key in zip(tables, made, strict=True):
             maybe = np.flatnonzero(bitmap[key >> np.uint32(16)])
             low = np.searchsorted(keys, key[maybe], "left")
@@ -271,13 +273,14 @@ def hits(index: Index, texts: pa.Array) -> list[list[dict]]:
             (doc, own): (0, place - int(bounds[doc]), len(index.items[own])) for (doc, own), place in short_hits(index, words, bounds).items()
         }
         done: dict[tuple[int, int], tuple[int, int]] = {}
-        for place, part in zip(*(x.tolist() for x in candidates(index, words)), strict=True):
+        places, parts = candidates(index, words)
+        docs, edges = np.searchsorted(bounds, places, "right") - 1, bounds.tolist()
+        for place, part, doc in zip(places.tolist(), parts.tolist(), docs.tolist(), strict=True):
             own, offset = index.parts[part]
             item = index.items[own]
-            doc = int(np.searchsorted(bounds, place, "right")) - 1
             slack = int(len(item) * MOST_EDITS) + 1
-            begin = max(int(bounds[doc]), place - offset - 2 * slack)
-            end = min(int(bounds[doc + 1]), place - offset + len(item) + 2 * slack)
+            begin = max(edges[doc], place - offset - 2 * slack)
+            end = min(edges[doc + 1], place - offset + len(item) + 2 * slack)
             # Neighbouring candidates of an item share one check where it covered the same words.
             before = done.get((doc, own), (0, -1))
             if before[0] <= begin and end <= before[1]:
