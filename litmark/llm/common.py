@@ -47,11 +47,22 @@ def keep_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
     return whole.join(rows.select("row"), "row", "left_semi").select("doc.*")
 
 
-def saved(frame: DataFrame, name: str) -> DataFrame:
-    """``frame`` written as a table into the folder that the cluster shares, and read again: a cut in the lineage."""
+_CLEANED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def saved(frame: DataFrame, name: str, cleaned: bool = False) -> DataFrame:
+    """``frame`` written as a table into the folder that the cluster shares, and read again: a cut in the lineage.
+
+    With ``cleaned`` the shuffle files of the write are deleted when it ends, not when the driver next collects its garbage.
+    """
     spark = frame.sparkSession
     folder = scratch_folder(spark, name)
-    frame.write.parquet(folder)
+    before = spark.conf.get(_CLEANED, "false")
+    spark.conf.set(_CLEANED, "true" if cleaned else before)
+    try:
+        frame.write.parquet(folder)
+    finally:
+        spark.conf.set(_CLEANED, before)
     return spark.read.schema(frame.schema).parquet(folder)
 
 

@@ -306,7 +306,7 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
     A window is repeated if the same ``LEAST`` bytes start anywhere else in ``docs``, the same document included. Rows that are copies of
     another row are left out: all of their bytes repeat (see ``remove_repeats``).
     """
-    return _repeats(docs, saved(_meta(docs), "meta"))
+    return _repeats(docs, saved(_meta(docs), "meta", True))
 
 
 def _meta(docs: DataFrame) -> DataFrame:
@@ -329,7 +329,7 @@ def _dealt(contents: DataFrame) -> DataFrame:
 
 def _repeats(docs: DataFrame, meta: DataFrame) -> DataFrame:
     texts = numbered(docs, "text")
-    found = saved(texts.mapInArrow(_span_rows, "row long, start int, count int, hash long, inner boolean"), "spans")
+    found = saved(texts.mapInArrow(_span_rows, "row long, start int, count int, hash long, inner boolean"), "spans", True)
     often = found.groupBy("hash").agg(F.sum(F.when(F.col("inner"), 2).otherwise(1)).alias("times")).where("times > 1").select("hash")
     later = meta.join(_copies(meta), "sha").where("row <> first").select("row")
     # Spans of one text, no more than it has bytes; of rows with equal texts only the first one's.
@@ -340,13 +340,14 @@ def _repeats(docs: DataFrame, meta: DataFrame) -> DataFrame:
         .join(later, "row", "left_anti")
     )
     members = saved(
-        texts.join(candidates, "row").mapInArrow(_content_rows, "row long, start int, hash long, inner boolean, digest binary, content binary"), "members"
+        texts.join(candidates, "row").mapInArrow(_content_rows, "row long, start int, hash long, inner boolean, digest binary, content binary"), "members", True
     )
     contents = saved(
         members.groupBy("digest").agg(
             F.min("hash").alias("hash"), F.max("inner").alias("inner"), F.count("*").alias("times"), F.min("content").alias("content")
         ),
         "contents",
+        True,
     )
     dealt = _dealt(contents)
     alone = dealt.where("distinct = 1 AND NOT inner")
@@ -357,7 +358,7 @@ def _repeats(docs: DataFrame, meta: DataFrame) -> DataFrame:
         .repartition("hash", "shard")
         .sortWithinPartitions("hash", "shard")
     )
-    sorted_ = saved(together.mapInArrow(_shard_rows, _SHARD_SHAPE), "shards")
+    sorted_ = saved(together.mapInArrow(_shard_rows, _SHARD_SHAPE), "shards", True)
     merged = sorted_.where("bucket IS NOT NULL").groupBy("hash", "bucket").applyInArrow(_merge, "digest binary, a int, b int")
     marks = whole.union(sorted_.where("digest IS NOT NULL").select("digest", "a", "b")).union(merged)
     marked = marks.groupBy("digest").agg(F.collect_list(F.struct("a", "b")).alias("marks"))
@@ -378,7 +379,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     maximal removed runs. Matches never cross texts. Null and empty texts have no bytes; shorter texts lose none. Rows that repeat
     are copies of each other. Other columns are ignored; an empty table gives an empty result.
     """
-    meta = saved(_meta(docs), "meta")
+    meta = saved(_meta(docs), "meta", True)
     gone = _repeats(docs, meta)
     copies = _copies(meta).select("sha", F.lit(True).alias("copied"))
     tagged = meta.join(copies, "sha", "left").withColumn("whole", F.coalesce("copied", F.lit(False)) & (F.col("n") >= LEAST))
