@@ -52,8 +52,7 @@ def latest_targets(wide: DataFrame, columns: dict[str, int]) -> DataFrame:
     """Per municipality and network, the newest present target of each target year, still one column per year.
 
     Grouping the wide rows and unpivoting afterwards shuffles one row per key instead of one per key and target year,
-    and a frequent key is reduced before the shuffle. The larger target wins when a reference year repeats: a first grouping by reference
-    year keeps the largest, so the second one meets no ties. Both aggregate numbers only and therefore by hashing.
+    and a frequent key is reduced before the shuffle. The larger target wins when a reference year repeats.
     """
     kinds = {f.name: f.dataType for f in wide.schema.fields}
     base = wide.select(
@@ -62,28 +61,13 @@ def latest_targets(wide: DataFrame, columns: dict[str, int]) -> DataFrame:
         strict_int(F.col("ano"), kinds["ano"], "ano").alias("ano_referencia_fonte"),
         *[strict_double(F.col(c), kinds[c], c).alias(c) for c in columns],
     ).where(F.col("id_municipio").isNotNull() & F.col("codigo_rede").isNotNull())
-    keys = ["id_municipio", "codigo_rede"]
-    yearly = base.groupBy(*keys, "ano_referencia_fonte").agg(*[F.max(c).alias(c) for c in columns])
-    # A target without a reference year counts as the oldest.
-    year = F.coalesce("ano_referencia_fonte", F.lit(_NO_YEAR))
-
-    def present(column: str):
-        return F.when(F.col(column).isNotNull(), year)
-
-    newest = [x for c in columns for x in (F.max(present(c)).alias(f"_ano_{c}"), F.max_by(c, present(c)).alias(c))]
-    return yearly.groupBy(*keys).agg(*newest).select(
-        *keys,
-        *[
-            F.when(
-                F.col(c).isNotNull(),
-                F.struct(F.nullif(F.col(f"_ano_{c}"), F.lit(_NO_YEAR)).alias("ano_referencia_fonte"), F.col(c).alias("meta_alfabetizacao")),
-            ).alias(c)
-            for c in columns
-        ],
-    )
-
-
-_NO_YEAR = -(1 << 31)
+    newest = [
+        F.max(
+            F.when(F.col(c).isNotNull(), F.struct(F.col("ano_referencia_fonte"), F.col(c).alias("meta_alfabetizacao")))
+        ).alias(c)
+        for c in columns
+    ]
+    return base.groupBy("id_municipio", "codigo_rede").agg(*newest)
 
 
 def targets(wide: DataFrame, columns: dict[str, int] | None = None, stamped: bool = True) -> DataFrame:
