@@ -108,44 +108,36 @@ def fillings(counts: list[int], room: int, waste: int, limit: int) -> list[tuple
         if counts[size]:
             present |= 1 << size
     steps = 40 * limit
-    # Rest, largest size still allowed, and the sizes so far as a chain, which open branches share.
-    stack: list[tuple[int, int, tuple | None]] = [(room, room, None)]
-    while stack and steps and len(found) < limit:
+    # A way so far: rest, sizes of which one is left (as bits), last size taken and how often, and all taken as a chain that ways share.
+    way: tuple[int, int, int, int, tuple | None] = (room, present, room, 0, None)
+    # Ways with the sizes, none above their last, that are still to be tried as the next piece; the largest comes first.
+    stack: list[tuple[tuple[int, int, int, int, tuple | None], int]] = []
+    while steps and len(found) < limit:
         steps -= 1
-        rest, top, chain = stack.pop()
-        sizes, link = [], chain
-        while link:
-            sizes.append(link[0])
-            link = link[1]
-        # Sizes in 1..min(rest, top) of which one is left.
-        usable = present & ((1 << (min(rest, top) + 1)) - 1)
-        for size in sizes:
-            if usable >> size & 1 and counts[size] <= sizes.count(size):
-                usable &= ~(1 << size)
-        spare = present & ((1 << (rest + 1)) - 1)
-        for size in set(sizes):
-            if counts[size] <= sizes.count(size):
-                spare &= ~(1 << size)
-        if not spare:
-            if rest <= waste:
-                swap = False
-                for size in set(sizes):
-                    larger = (present >> (size + 1)) & ((1 << rest) - 1)
-                    while larger:
-                        other = size + 1 + (larger & -larger).bit_length() - 1
-                        if counts[other] > sizes.count(other):
-                            swap = True
-                            break
-                        larger &= larger - 1
-                if not swap:
-                    found.append((rest, array("H", sizes)))
-            continue
-        options = []
-        while usable:
-            size = usable.bit_length() - 1
-            options.append((rest - size, size, (size, chain)))
-            usable &= ~(1 << size)
-        stack.extend(reversed(options))
+        rest, spare, last, _, link = way
+        if spare & ((2 << rest) - 1):
+            usable = spare & ((2 << min(rest, last)) - 1)
+            if usable:
+                stack.append((way, usable))
+        elif rest <= waste:
+            sizes = []
+            while link:
+                sizes.append(link[0])
+                link = link[1]
+            if not any((spare >> (size + 1)) & ((1 << rest) - 1) for size in set(sizes)):
+                found.append((rest, array("H", sizes)))
+        if not stack:
+            break
+        before, usable = stack.pop()
+        rest, spare, last, run, chain = before
+        size = usable.bit_length() - 1
+        usable ^= 1 << size
+        if usable:
+            stack.append((before, usable))
+        run = run + 1 if size == last else 1
+        if counts[size] <= run:
+            spare ^= 1 << size
+        way = (rest - size, spare, size, run, (size, chain))
     return sorted(found, key=lambda f: f[0])
 
 
