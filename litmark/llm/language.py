@@ -26,6 +26,8 @@ from litmark.llm.common import saved
 
 # At most so many labelled documents of a language are fitted on, those with the lowest hash of their id.
 LABELLED_ROWS = 1_000
+# Languages that are learned, those with the most labelled documents, so that the table of probabilities has a fixed size.
+LANGUAGES = 256
 DEALT = 64
 ROUNDS, ADDED = 2, 0.1
 # Longer words are taken in stretches of this many letters, which keeps the sums within a double.
@@ -207,16 +209,20 @@ def _expected(path: str, languages: list[str], table: np.ndarray):
     return rows
 
 
-def learn(docs: DataFrame, bound: int = LABELLED_ROWS, path: str | None = None) -> Model:
+def learn(docs: DataFrame, bound: int = LABELLED_ROWS, path: str | None = None, most: int = LANGUAGES) -> Model:
     """A model from ``docs`` (doc_id, text, lang). Rows without id, text or language are left out.
 
     At most ``bound`` documents of a language give the pieces, so the work of fitting has a fixed size for each language. The first rank
-    takes ``bound`` rows of each of ``DEALT`` parts of a language, the second the first of those. The prior counts all documents.
+    takes ``bound`` rows of each of ``DEALT`` parts of a language, the second the first of those. The prior counts all documents. Of more than
+    ``most`` values of ``lang`` those with the most documents are learned (of equally frequent ones the first by name).
     """
     path = path or vocabulary_file()
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     part = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(DEALT)).alias("part")
     usable = docs.where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
+    tally = usable.select("doc_id", "lang").distinct().groupBy("lang").agg(F.count("*").alias("n"))
+    documents = {r.lang: r.n for r in tally.orderBy(F.desc("n"), "lang").limit(most).collect()}
+    usable = usable.where(F.col("lang").isin(list(documents)))
     chosen = (
         usable.select("doc_id", "lang", part)
         .withColumn("nth", F.row_number().over(W.partitionBy("lang", "part").orderBy(*order)))
@@ -229,7 +235,6 @@ def learn(docs: DataFrame, bound: int = LABELLED_ROWS, path: str | None = None)
     chosen = saved(chosen, "chosen")
     sample = docs.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"], "left_semi").select("lang", "text")
     counts = saved(sample.mapInArrow(_count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
-    documents = {r.lang: r.n for r in usable.select("doc_id", "lang").distinct().groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted({r.lang for r in counts.select("lang").distinct().collect()})
     size = len(vocabulary(path)) + 1
     table = np.full((size, len(languages)), 1 / size)

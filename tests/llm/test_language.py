@@ -62,6 +62,15 @@ def test_prior_counts_documents_beyond_the_bound(spark):
     np.testing.assert_allclose(np.exp(model.prior), [3 / 12, 9 / 12])
 
 
+def test_many_languages(spark):
+    rows = [(i, "the cat and the dog", "en") for i in range(4)] + [(i, "der hund und die katze", "de") for i in range(10, 13)]
+    rows += [(20 + i, f"un mot rare{i}", f"x{i:03}") for i in range(40)]
+    model = language.learn(frame(spark, rows), most=3)
+    assert model.languages == ["de", "en", "x000"]
+    assert model.table.shape[1] == 3
+    np.testing.assert_allclose(np.exp(model.prior), [3 / 8, 4 / 8, 1 / 8])
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
