@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from litmark.sources.publish import filesystem, folder_bytes, remove_folder
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -67,14 +68,40 @@ def sized_shuffles(spark: SparkSession, *paths: str) -> Iterator[int]:
             spark.conf.set(SHUFFLE_SETTING, before)
 
 
-def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the folder the cluster shares (``spark.checkpoint.dir``).
+# Folder of this machine by application, for local masters without a shared folder.
+_LOCAL: dict[str, str] = {}
 
-    Only a local master may fall back to a temporary folder of this machine.
-    """
+
+def _scratch_root(spark: SparkSession) -> str:
+    """The folder that holds all scratch tables of this application, and none of others."""
+    application = spark.sparkContext.applicationId
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        shared = tempfile.mkdtemp(prefix="litmark-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        if application not in _LOCAL:
+            _LOCAL[application] = tempfile.mkdtemp(prefix="litmark-")
+        shared = _LOCAL[application]
+    return f"{shared.rstrip('/')}/litmark-{application}"
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new, unused path below the folder the cluster shares (``spark.checkpoint.dir``).
+
+    Only a local master may fall back to a temporary folder of this machine. Paths stay until ``release_scratch``.
+    """
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete every scratch table of this application and return how many bytes they had.
+
+    Results read them lazily, so call this once all results are written or collected. Scratch tables of other applications stay.
+    """
+    root = _scratch_root(spark)
+    files, target = filesystem(spark, root)
+    if not files.exists(target):
+        return 0
+    size = folder_bytes(spark, root)
+    remove_folder(spark, root)
+    return size
