@@ -1,9 +1,9 @@
 """Token counts and ids with a public tokenizer, by pieces that are looked up instead of encoded.
 
 A space that is followed by something other than white space always begins a pre-token of a byte-level tokenizer, so a text can be
-cut there and each piece encoded on its own. Lengths of the most frequent pieces come from a broadcast table of bounded size; all
-others from a bounded cache of the Python worker, which is filled by the tokenizer. The pieces of the texts are not shuffled: which ones are
-frequent is counted in a bounded sample, as the table saves time and changes no count.
+cut there and each piece encoded on its own. Lengths of pieces that are one token of the vocabulary come from a broadcast table no larger
+than the vocabulary; all others from a bounded cache of the Python worker, which is filled by the tokenizer. Nothing is learned from the
+texts, so they are read once and their pieces are not shuffled. Callers may ask for a table of the pieces that are most frequent in all rows.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ from litmark.llm.common import flat
 
 #: Pieces that a worker remembers; past that it starts anew. At about 150 bytes each, well below 100 MB.
 CACHED = 400_000
-#: Entries of the broadcast table (some 15 MB in a worker), and the documents of the sample that tells which pieces they are.
-FREQUENT, SAMPLED = 100_000, 4_000
+#: Entries of a table of frequent pieces (some 15 MB in a worker).
+FREQUENT = 100_000
 # Longer pieces are encoded without being remembered.
 LONGEST = 64
 _SPECIAL = "<|"
@@ -91,11 +91,10 @@ def vocabulary_lengths(path: str) -> dict[str, int]:
     return {t: 1 for t in plain if len(encode(path, t)) == 1}
 
 
-def frequent_lengths(docs: DataFrame, text: Column, path: str, most: int = FREQUENT, sampled: int = SAMPLED) -> dict[str, int]:
-    """The most frequent pieces of ``text`` in a sample of about ``sampled`` rows of ``docs``, with their numbers of tokens."""
-    share = min(1.0, sampled / max(docs.count(), 1))
+def frequent_lengths(docs: DataFrame, text: Column, path: str, most: int = FREQUENT) -> dict[str, int]:
+    """The most frequent pieces of ``text``, counted over all rows of ``docs``, with their numbers of tokens."""
     # Cut as ``pieces`` does; pieces that it would cut further are in no table.
-    cut = docs.sample(share, 5).select(F.explode(F.split(text, r"(?= \S)")).alias("piece")).where(F.length("piece").between(1, LONGEST))
+    cut = docs.select(F.explode(F.split(text, r"(?= \S)")).alias("piece")).where(F.length("piece").between(1, LONGEST))
     top = cut.groupBy("piece").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "piece").limit(most)
     found = [r.piece for r in top.select("piece").collect()]
     return {p: len(encode(path, p)) for p in found if pieces(p) == [p]}
@@ -158,7 +157,8 @@ def ids(path: str, text: str) -> bytes:
 def token_counts(spark: SparkSession, text: Column, path: str | None = None, docs: DataFrame | None = None) -> Column:
     """Struct (n_bytes, n_tokens) of a text column. Null counts as the empty text: no bytes, no tokens.
 
-    ``docs``, the table that the column is of, gives the frequent pieces; without it they are those of the tokenizer's vocabulary.
+    The table of known pieces is the tokenizer's vocabulary. With ``docs``, the table that the column is of, it holds the frequent pieces of
+    all its rows instead, which costs a pass over them; the counts are the same.
     """
     path = path or tokenizer_file()
     shared = spark.sparkContext.broadcast(vocabulary_lengths(path) if docs is None else frequent_lengths(docs, text, path))

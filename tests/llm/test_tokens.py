@@ -51,3 +51,9 @@ def test_frequent_pieces_with_their_lengths(spark, table):
     assert tokens.frequent_lengths(table([]), F.col("text"), PATH) == {}
     for r in docs.select("text", tokens.token_counts(spark, F.col("text"), docs=docs).alias("c")).collect():
         assert r.c.n_tokens == len(plain(r.text))
+
+
+def test_frequent_pieces_are_counted_over_all_rows(spark):
+    rare = F.when(F.col("id").isin(7, 19_001), " seldom").otherwise("")
+    docs = spark.range(20_000).select(F.concat(F.lit("often"), rare).alias("text"))
+    assert tokens.frequent_lengths(docs, F.col("text"), PATH) == {"often": len(plain("often")), " seldom": len(plain(" seldom"))}
