@@ -83,7 +83,12 @@ def consume(
     """
     spark = lines.sparkSession
     last = None
-    parsed = parse_events(mark_positions(lines), rules, keep_blank=True).persist()
+    marked = mark_positions(lines)
+    parsed = parse_events(marked, rules, keep_blank=True, fenced=False)
+    # What was parsed is kept as one column of whole rows: columns of their own would each be encoded and decoded again.
+    where = [c for c in marked.columns if c != "value"]
+    packed = parsed.select(*where, F.struct(*[c for c in parsed.columns if c not in where]).alias("_parsed")).persist()
+    parsed = packed.select(*where, "_parsed.*")
     try:
         numbered = number_lines(parsed).where("NOT em_branco")
         counts = parsed.where("NOT em_branco").agg(
@@ -108,7 +113,7 @@ def consume(
     finally:
         if last is not None:
             last.unpersist()
-        parsed.unpersist()
+        packed.unpersist()
     totals = {
         "validos": valid_rows,
         "invalidos": invalid_rows,

@@ -237,3 +237,14 @@ def test_a_base_without_valid_rows_is_an_error(spark):
     schema = "ano int, id_municipio string, id_uf string, codigo_rede int, rede string, taxa_alfabetizacao double"
     with pytest.raises(ValueError, match="no valid rows"):
         E.event_base(spark.createDataFrame([(2023, "x", "y", 1, "z", None)], schema))
+
+
+def test_each_field_is_stripped_once_and_the_fence_can_be_left_out(spark):
+    lines = spark.createDataFrame([json.dumps(event(" a ")), " ", "\u00a0", "x"], "string")
+    parsed = E.parse_events(lines, keep_blank=True, fenced=False)
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan
+    assert plan.count("trim(") == 9  # eight text fields and the line itself
+    fenced = E.parse_events(lines, keep_blank=True)
+    assert [tuple(r) for r in parsed.collect()] == [tuple(r) for r in fenced.collect()]
+    assert [r.em_branco for r in parsed.collect()] == [False, True, True, False]
