@@ -21,9 +21,13 @@ def strip(c: Column) -> Column:
 
 
 def clean(c: Column) -> Column:
-    """Stripped text, NULL when it is one of the null tokens."""
-    stripped = strip(c)
-    return F.when(~stripped.isin(NULL_TOKENS), stripped)
+    """Stripped text, NULL when it is one of the null tokens. Strips twice: see ``cleaning.clean_text`` for whole tables."""
+    return drop_tokens(strip(c))
+
+
+def drop_tokens(c: Column) -> Column:
+    """NULL for the null tokens."""
+    return F.when(~c.isin(NULL_TOKENS), c)
 
 
 def blank(c: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from litmark import fixed_values as V
 from litmark.functions.numbers import coerce_double, coerce_long
-from litmark.functions.text import clean, lower_name, snake_name
+from litmark.functions.text import drop_tokens, lower_name, snake_name, strip
 
 
 def rename_columns(df: DataFrame, rule: Callable[[str], str] = snake_name) -> DataFrame:
@@ -28,15 +28,23 @@ def clean_all_text(df: DataFrame) -> DataFrame:
 
 
 def clean_text(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Strip and null tokens on the named columns; absent ones are skipped, others become text."""
+    """Strip and null tokens on the named columns; absent ones are skipped, others become text.
+
+    Two projections, so that the tokens are looked up in the stripped text instead of stripping it again.
+    """
     present = set(columns) & set(df.columns)
     if not present:
         return df
-    return df.withColumns({c: clean(F.col(c).cast("string")) for c in df.columns if c in present})
+    named = [c for c in df.columns if c in present]
+    stripped = df.withColumns({c: strip(F.col(c).cast("string")) for c in named})
+    return stripped.withColumns({c: drop_tokens(F.col(c)) for c in named})
 
 
 def coerce_numbers(df: DataFrame, integers: Iterable[str] = (), doubles: Iterable[str] = ()) -> DataFrame:
-    """Numbers or NULL on the named columns; absent ones are skipped."""
+    """Numbers or NULL on the named columns; absent ones are skipped. Each text is parsed once, in a projection of its own."""
+    integers, doubles = list(integers), list(doubles)
+    parsed = {c: F.col(c).try_cast("double") for c in df.columns if c in integers or c in doubles}
+    df = df.withColumns(parsed) if parsed else df
     typed = {c: coerce_long(F.col(c)) for c in integers if c in df.columns}
     typed |= {c: coerce_double(F.col(c)) for c in doubles if c in df.columns}
     return df.withColumns(typed) if typed else df

@@ -229,3 +229,12 @@ def test_run_log(spark, tmp_path):
     assert alert["etapa"] == "b" and alert["mensagem"].startswith("broken badly") and len(alert["mensagem"]) == 1000
     history = spark.read.schema(R.RUN_SCHEMA).json(f"{root}/log/historico")
     assert history.first()["metricas_depois"]["gold"]["registros"] == 5
+
+
+def test_cleaning_strips_and_parses_each_value_once(spark):
+    rows = [("2023", " 1\t", "1.5", "x"), ("nan", " None ", "", None), ("20.5", "\u00a0", "1e2 ", " nan ")]
+    df = spark.createDataFrame(rows, "ano string, rede string, peso_aluno string, outra string")
+    cleaned = C.coerce_numbers(C.clean_text(df, ["ano", "rede", "peso_aluno"]), iter(["ano"]), iter(["peso_aluno"]))
+    plan = cleaned._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("trim(") == 3 and plan.count("as double") == 3  # the third: the whole number that ano is compared with
+    assert [tuple(r) for r in cleaned.collect()] == [(2023, "1", 1.5, "x"), (None, None, None, None), (None, None, 100.0, " nan ")]
