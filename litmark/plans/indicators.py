@@ -92,11 +92,15 @@ def targets(wide: DataFrame, columns: dict[str, int] | None = None, stamped: boo
 
 
 def join_targets(indicators: DataFrame, target_table: DataFrame, how: str = "inner") -> DataFrame:
-    """Results with the target of the same municipality, network and year."""
+    """Results with the target of the same municipality, network and year.
+
+    Both sides grow with the data, and read back from files they look small: compressed bytes would make the planner hold a whole side in
+    every task. A merge join takes bounded memory at any size.
+    """
     renamed = target_table.select(
         "id_municipio", "codigo_rede", F.col("ano_meta").alias("ano"), "meta_alfabetizacao"
     )
-    return indicators.join(renamed, COMPARISON_KEYS, how)
+    return indicators.join(renamed.hint("merge"), COMPARISON_KEYS, how)
 
 
 def comparison(

@@ -238,3 +238,11 @@ def test_cleaning_strips_and_parses_each_value_once(spark):
     plan = cleaned._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("trim(") == 3 and plan.count("as double") == 3  # the third: the whole number that ano is compared with
     assert [tuple(r) for r in cleaned.collect()] == [(2023, "1", 1.5, "x"), (None, None, None, None), (None, None, 100.0, " nan ")]
+
+
+def test_targets_read_from_files_are_not_broadcast(spark, tmp_path):
+    spark.createDataFrame([(2024, "3500001", 3, 50.0)], "ano int, id_municipio string, codigo_rede int, taxa_alfabetizacao double").write.parquet(str(tmp_path / "i"))
+    spark.createDataFrame([("3500001", 3, 2024, 60.0)], "id_municipio string, codigo_rede int, ano_meta int, meta_alfabetizacao double").write.parquet(str(tmp_path / "m"))
+    joined = I.join_targets(spark.read.parquet(str(tmp_path / "i")), spark.read.parquet(str(tmp_path / "m")))
+    assert [r.meta_alfabetizacao for r in joined.collect()] == [60.0]
+    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
