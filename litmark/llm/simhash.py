@@ -125,9 +125,11 @@ def links(prints: DataFrame, block: int = BLOCK, bands: tuple[int, int] | None =
         bands = next((b for b in BANDS if n / 2 ** (64 * b[1] // b[0]) <= GROUP), BANDS[-1])
     rows = prints.mapInArrow(_with_bands(*bands), "band int, key long, print long, pivots binary")
     key = ["band", "key"]
-    sizes = rows.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").withColumn("blocks", F.ceil(F.col("n") / block))
+    # Joined by merge: a print gives a row in every band, which the planner does not see, so it would broadcast millions of groups as a small table.
+    # Written before that: such a join has no aggregation in its stage, so a large group can be split over tasks.
+    sizes = saved(rows.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").withColumn("blocks", F.ceil(F.col("n") / block)), "sizes")
     # Row of block x goes to the pairs (x, y) and (y, x) of blocks, so each pair of blocks meets in one task.
-    placed = rows.join(sizes, key).withColumn("block", F.pmod(F.xxhash64("print", "band"), "blocks"))
+    placed = rows.join(sizes.hint("merge"), key).withColumn("block", F.pmod(F.xxhash64("print", "band"), "blocks"))
     dealt = placed.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)"))).select(
         *key, "print", "pivots", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
     )

@@ -80,6 +80,14 @@ def test_links_join_what_brute_force_joins(spark, bands, block):
     assert sorted(map(sorted, ours.values())) == sorted(map(sorted, theirs.values()))
 
 
+def test_group_sizes_are_not_broadcast(spark, tmp_path):
+    # Neighbours are one bit apart. Read from a small file, the groups look small to the planner at any number of prints.
+    spark.createDataFrame([((1 << i) - 1,) for i in range(40)], "print long").write.parquet(str(tmp_path / "prints"))
+    made = simhash.links(spark.read.parquet(str(tmp_path / "prints")))
+    assert len({r.root for r in components(made).collect()}) == 1
+    assert "Broadcast" not in made._jdf.queryExecution().executedPlan().toString()
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     chain = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 50)] + [(5000, 5000)]
     found = {r.node: r.root for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
