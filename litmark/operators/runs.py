@@ -14,7 +14,7 @@ from litmark.sources.lines import count_rows_by_file, has_files
 from litmark.sources.sinks import write_json_lines
 
 LAYERS = ["bronze", "silver", "gold"]
-LAYER_METRICS = "struct<arquivos: long, bytes: long, registros: long>"
+LAYER_METRICS = "struct<arquivos: long, bytes: long, registros: long, ilegiveis: long>"
 
 STAGE_SCHEMA = (
     "run_id string, etapa string, descricao string, status string, "
@@ -41,23 +41,28 @@ def layer_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def layer_metrics(spark: SparkSession, root: str, layers: list[str] | None = None) -> DataFrame:
-    """``(camada, arquivos, bytes, registros)`` per layer folder below ``root``; a missing layer is all zeros."""
+    """``(camada, arquivos, bytes, registros, ilegiveis)`` per layer folder below ``root``; a missing layer is all zeros.
+
+    ``ilegiveis`` counts the files that could not be read: unless it is 0, ``registros`` lacks their rows.
+    """
     layers = layers or LAYERS
-    schema = "camada string, arquivos long, bytes long, registros long"
-    parts = [spark.createDataFrame([(layer, 0, 0, 0) for layer in layers], schema)]
+    schema = "camada string, arquivos long, bytes long, registros long, ilegiveis long"
+    parts = [spark.createDataFrame([(layer, 0, 0, 0, 0) for layer in layers], schema)]
     zero = F.lit(0).cast("long")
     for layer in layers:
         path = f"{root}/{layer}"
         if has_files(spark, path):
             name = F.lit(layer)
             sizes = layer_files(spark, path).agg(F.count("*").alias("arquivos"), F.sum("bytes").alias("bytes"))
-            rows = count_rows_by_file(spark, path).agg(F.coalesce(F.sum("registros"), zero).alias("registros"))
-            parts.append(sizes.select(name, "arquivos", "bytes", zero))
-            parts.append(rows.select(name, zero, zero, "registros"))
+            rows = count_rows_by_file(spark, path).agg(
+                F.coalesce(F.sum("registros"), zero).alias("registros"), F.count("erro").alias("ilegiveis")
+            )
+            parts.append(sizes.select(name, "arquivos", "bytes", zero, zero))
+            parts.append(rows.select(name, zero, zero, "registros", "ilegiveis"))
     return (
         reduce(DataFrame.unionAll, parts)
         .groupBy("camada")
-        .agg(*[F.sum(c).alias(c) for c in ("arquivos", "bytes", "registros")])
+        .agg(*[F.sum(c).alias(c) for c in ("arquivos", "bytes", "registros", "ilegiveis")])
     )
 
 
@@ -137,7 +142,7 @@ class RunLog:
 
     def _metrics(self) -> dict[str, tuple]:
         rows = layer_metrics(self.spark, self.data_root).collect()
-        return {r["camada"]: (r["arquivos"], r["bytes"], r["registros"]) for r in rows}
+        return {r["camada"]: (r["arquivos"], r["bytes"], r["registros"], r["ilegiveis"]) for r in rows}
 
     def add_stage(self, name: str, description: str, started: datetime, error: str | None = None) -> None:
         ended = _now()

@@ -187,15 +187,17 @@ def count_csv_rows(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def _count_readable_json(spark: SparkSession, *paths: str) -> DataFrame:
-    """As ``count_json_rows``; a file with bytes that are not UTF-8 counts as broken: 0."""
+    """As ``count_json_rows``; null for a file with bytes that are not UTF-8."""
     text = _reader(spark, "*.json*").text(list(paths)).groupBy(F.col("_metadata.file_path").alias("arquivo"))
     whole = F.bool_and(F.is_valid_utf8("value"))
-    return text.agg(F.when(whole, F.count_if(strip(F.col("value")) != "")).otherwise(0).alias("registros"))
+    return text.agg(F.when(whole, F.count_if(strip(F.col("value")) != "")).alias("registros"))
 
 
 def count_rows_by_file(spark: SparkSession, path: str) -> DataFrame:
-    """``(arquivo, registros)`` over all known file types below ``path``; a broken file counts 0, all others in full.
+    """``(arquivo, registros, erro)`` over all known file types below ``path``; a broken file counts 0, all others in full.
 
+    ``erro`` says why a file could not be counted and is null for all others, so that its 0 is told from that of an empty file. Only what
+    Spark reports as a file it could not read is a broken file; any other failure (a lost executor, a file that has gone) fails the count.
     This is the tolerant count for metrics; the counts above fail on a broken file, as loads must. Broken files are found by halving
     the set of files that failed, so a few of them cost a few further passes over ever smaller sets.
     """
@@ -204,7 +206,7 @@ def count_rows_by_file(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _isolated(spark: SparkSession, path: str, glob: str, count: Callable[..., DataFrame]) -> DataFrame:
-    """The counts of all files that can be read, and 0 for each of the others."""
+    """The counts of all files that can be read, and 0 with the reason for each of the others."""
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob)
     files = [r["path"] for r in listing.load(path).select("path").collect()]
     good, broken, open_sets = [], [], [files] if files else []
@@ -213,12 +215,27 @@ def _isolated(spark: SparkSession, path: str, glob: str, count: Callable[..., Da
         try:
             count(spark, *map(_literal, some)).agg(F.sum("registros")).first()
             good += some
-        except Exception:
+        except Exception as error:
+            if not _unreadable(error):
+                raise
             half = len(some) // 2
-            broken += some if not half else []
+            broken += [] if half else [(some[0], 0, _reason(error))]
             open_sets += [some[:half], some[half:]] if half else []
-    lost = spark.createDataFrame([(f, 0) for f in broken], "arquivo string, registros long")
-    return count(spark, *map(_literal, good)).unionByName(lost) if good else lost
+    lost = spark.createDataFrame(broken, "arquivo string, registros long, erro string")
+    if not good:
+        return lost
+    uncounted = F.when(F.col("registros").isNull(), "not UTF-8").alias("erro")
+    return count(spark, *map(_literal, good)).select("arquivo", F.coalesce("registros", F.lit(0)).alias("registros"), uncounted).unionByName(lost)
+
+
+def _unreadable(error: Exception) -> bool:
+    """Whether a file that is there could not be read."""
+    return "[FAILED_READ_FILE." in str(error) and "[FAILED_READ_FILE.FILE_NOT_EXIST]" not in str(error)
+
+
+def _reason(error: Exception) -> str:
+    """The innermost cause that an error names, or its first line."""
+    return [*str(error).splitlines()[:1], *re.findall(r"^Caused by: (.*)", str(error), re.MULTILINE)][-1]
 
 
 def _literal(path: str) -> str:

@@ -3,6 +3,7 @@ import os
 import pytest
 from litmark import fixed_values as V
 from litmark.operators.costs import usage
+from litmark.operators.runs import layer_metrics
 from litmark.plans import medallion as M
 from litmark.sources import catalog, lines, sinks
 from litmark.sources import snapshots as S
@@ -10,6 +11,8 @@ from litmark.sources.lines import job_history
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from workload import sources as queries_of_sources
+from workload.registry import QUERIES
 
 
 def rows(df):
@@ -307,3 +310,34 @@ def test_a_broken_file_counts_nothing_and_the_others_in_full(spark, tmp_path):
     assert [v for k, v in found.items() if k.startswith("whole")] == [7] and found["r.csv"] == 2
     assert sum(v for k, v in found.items() if k.startswith("part-")) == 15
     assert lines.count_rows_by_file(spark, str(tmp_path / "p0")).count() == 1
+
+
+def test_a_broken_file_is_told_from_an_empty_one_and_other_failures_fail(spark, tmp_path, monkeypatch):
+    (tmp_path / "gold").mkdir()
+    (tmp_path / "gold" / "ok.jsonl").write_text('{"a":1}\n' * 3)
+    (tmp_path / "gold" / "empty.jsonl").write_text("\n")
+    (tmp_path / "gold" / "latin.jsonl").write_bytes(b'{"a":"\xe9"}\n')
+    (tmp_path / "gold" / "broken.parquet").write_text("this is not parquet")
+    found = {r["arquivo"].rpartition("/")[2]: (r["registros"], r["erro"]) for r in lines.count_rows_by_file(spark, str(tmp_path)).collect()}
+    assert found["ok.jsonl"] == (3, None) and found["empty.jsonl"] == (0, None) and found["latin.jsonl"] == (0, "not UTF-8")
+    assert found["broken.parquet"][0] == 0 and "is not a Parquet file" in found["broken.parquet"][1]
+    gold = next(r for r in layer_metrics(spark, str(tmp_path)).collect() if r["camada"] == "gold")
+    assert (gold["arquivos"], gold["registros"], gold["ilegiveis"]) == (4, 3, 2)
+
+    def lost(*_):
+        raise RuntimeError("Job aborted due to stage failure: ExecutorLostFailure")
+
+    monkeypatch.setattr(lines, "count_parquet_rows", lost)
+    with pytest.raises(RuntimeError, match="ExecutorLostFailure"):
+        lines.count_rows_by_file(spark, str(tmp_path))
+
+
+def test_layer_metrics_fails_rather_than_count_less(spark, tmp_path, monkeypatch):
+    (tmp_path / "gold").mkdir()
+    spark.range(5).write.parquet(str(tmp_path / "gold" / "t"))
+    monkeypatch.setattr(queries_of_sources, "_medallion", lambda *_: M.Layers(str(tmp_path)))
+    whole = QUERIES["layer_metrics"](spark, "")
+    assert {r["camada"]: r["registros"] for r in whole.collect()} == {"bronze": 0, "silver": 0, "gold": 5, "ausente": 0}
+    (tmp_path / "gold" / "broken.parquet").write_text("this is not parquet")
+    with pytest.raises((PySparkException, Py4JJavaError), match="could not be read in layer gold"):
+        QUERIES["layer_metrics"](spark, "").collect()

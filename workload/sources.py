@@ -152,7 +152,9 @@ def layer_metrics(spark, folder):
     layers = _medallion(spark, folder)
     counted = metrics_of_layers(spark, layers.root, list(_rows))
     full = (F.col("arquivos") > 0) & (F.col("bytes") > 0)
-    return counted.select("camada", "registros", full.alias("tem_arquivos"))
+    refused = F.raise_error(F.concat(F.lit("files that could not be read in layer "), "camada")).cast("long")
+    rows = F.when(F.col("ilegiveis") == 0, F.col("registros")).otherwise(refused)
+    return counted.select("camada", rows.alias("registros"), full.alias("tem_arquivos"))
 
 
 def _load(spark, folder):
